@@ -13,27 +13,24 @@ from lastro.plans.gold import (
     bank_indicators,
     client_summary,
 )
-from lastro.plans.silver import bronze_metrics, refine
+from lastro.plans.silver import refine_observed
 from lastro.sources import ensure_schema, scan, stage, write_table
 
 
 def save_silver(bronze: DataFrame, layers: Layers = Layers(),
-                money_type: str = "float", strip_whitespace: bool = False,
-                on_error: str = "null",
-                fmt: str | None = None) -> dict[str, int | None]:
-    """Clean, save, and report on the quality of the raw rows.
+                fmt: str | None = None, **rule_options) -> Observation:
+    """Clean the raw rows, save them, and report on their quality.
 
-    The report is counted on the rows while they are being written, so it
-    costs no further pass. Writing is a single stage without a shuffle, and
-    there Spark counts each partition once, also after a lost executor.
+    The metrics of ``quality_profile`` are counted on the rows while they are
+    being written and cost no further pass; ``.get`` on the result gives them
+    as a dict. Writing is one stage without a shuffle, in which Spark counts
+    every partition once even when its task had to be repeated.
     """
-    spark = bronze.sparkSession
-    report = Observation("bronze quality")
-    observed = bronze.observe(report, *bronze_metrics(bronze, money_type))
-    ensure_schema(spark, layers.schema(layers.silver_schema))
-    write_table(refine(observed, money_type, strip_whitespace, on_error),
+    report = Observation()
+    ensure_schema(bronze.sparkSession, layers.schema(layers.silver_schema))
+    write_table(refine_observed(bronze, report, **rule_options),
                 layers.silver, fmt=fmt)
-    return report.get
+    return report
 
 
 def save_gold(silver: DataFrame, layers: Layers = Layers(),
@@ -56,9 +53,9 @@ def save_gold(silver: DataFrame, layers: Layers = Layers(),
 
 
 def refresh(spark: SparkSession, layers: Layers = Layers(),
-            **silver_options) -> dict[str, int | None]:
+            multiplier: float = RISK_MULTIPLIER, fmt: str | None = None,
+            **rule_options) -> Observation:
     """Rebuild silver from all of bronze, then gold from silver."""
-    report = save_silver(scan(spark, layers.bronze), layers, **silver_options)
-    save_gold(scan(spark, layers.silver), layers,
-              fmt=silver_options.get("fmt"))
+    report = save_silver(scan(spark, layers.bronze), layers, fmt, **rule_options)
+    save_gold(scan(spark, layers.silver), layers, multiplier, fmt)
     return report

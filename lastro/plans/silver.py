@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lastro.functions import (
@@ -11,7 +13,6 @@ from lastro.functions import (
     money,
     trimmed,
     typed,
-    without_currency,
 )
 from lastro.names import (
     AGE,
@@ -24,6 +25,7 @@ from lastro.names import (
     DATE,
     NAME,
     UNKNOWN_NAME,
+    quoted,
 )
 from lastro.operators.profile import quality_metrics
 
@@ -55,13 +57,11 @@ def refine(bronze: DataFrame, money_type: str = "float",
         cleaning_rules(money_type, strip_whitespace, on_error))
 
 
-def parsed_values(money_type: str = "float") -> dict[str, tuple[Column, Column]]:
+def parsed_values(
+        rules: Mapping[str, Column] | None = None) -> dict[str, tuple[Column, Column]]:
     """Raw and parsed form of each column that gets a new type."""
-    return {
-        AMOUNT: (F.col(AMOUNT), typed(without_currency(F.col(AMOUNT)), money_type)),
-        BALANCE: (F.col(BALANCE), typed(F.col(BALANCE), money_type)),
-        DATE: (F.col(DATE), typed(F.col(DATE), "date")),
-    }
+    rules = rules or cleaning_rules()
+    return {c: (F.col(c), rules[c]) for c in (AMOUNT, BALANCE, DATE)}
 
 
 def negative_age() -> Column:
@@ -77,6 +77,19 @@ def validity_rules() -> dict[str, Column]:
     }
 
 
-def bronze_metrics(bronze: DataFrame, money_type: str = "float") -> list[Column]:
-    return quality_metrics(
-        bronze.columns, parsed_values(money_type), validity_rules())
+def refine_observed(bronze: DataFrame, report: Observation,
+                    **options) -> DataFrame:
+    """``refine``, with the quality of the raw rows counted on their way.
+
+    Raw and clean values stand side by side while they are counted, so each
+    value is parsed once for both.
+    """
+    rules = cleaning_rules(**options)
+    clean = {c: f"__clean_{c}" for c in rules}
+    both = bronze.withColumns({clean[c]: rule for c, rule in rules.items()})
+    parsed = parsed_values({c: F.col(name) for c, name in clean.items()})
+    observed = both.observe(
+        report, *quality_metrics(bronze.columns, parsed, validity_rules()))
+    return observed.select(*[
+        F.col(clean[c]).alias(c) if c in clean else F.col(quoted(c))
+        for c in bronze.columns])

@@ -16,6 +16,7 @@ def local_session(cpus: int | str = 8, app: str = "lastro", memory: str = "8g",
     home = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     settings = {
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": memory,
         "spark.sql.shuffle.partitions": str(cpus) if str(cpus).isdigit() else "8",
         "spark.sql.session.timeZone": "UTC",
