@@ -27,7 +27,9 @@ PIX = "PIX"
 CANCELLED = "Cancelada"
 CPF_LENGTH = 11
 
-# Fixed value: currency prefix removed from amounts, wherever it stands.
+# Currency sign, and the pattern removed from amounts wherever
+# it matches.
+CURRENCY = "R$"
 CURRENCY_PREFIX = r"R\$\s*"
 
 # Output columns of the quality checks.
