@@ -202,3 +202,23 @@ def test_gold_keeps_its_column_names(spark):
     assert sources.scan(spark, where.risk_monitor).dtypes == [
         ("nome_cliente", "string"), ("qnt_transacoes_canceladas", "bigint"),
         ("qnt_valores_3x_acima_media", "bigint")]
+
+
+def test_steps_from_the_command_line(spark, tmp_path, capsys):
+    from lastro.__main__ import main
+
+    deliver(tmp_path / "in", "a.csv", LINE, LINE.replace("Ana", ""))
+    where = ["--bronze", "cli_b", "--silver", "cli_s", "--gold", "cli_g"]
+    main(spark, ["ingest", str(tmp_path / "in"), *where])
+    main(spark, ["check", *where])
+    assert "Qtd_duplicatas" in capsys.readouterr().out
+    main(spark, ["refresh", "--money", "decimal(18,2)", *where])
+    assert '"nulos_nome_cliente": 1' in capsys.readouterr().out
+    risk = sources.scan(spark, Layers("cli_b", "cli_s", "cli_g").risk_monitor)
+    assert bag(risk) == Counter({("Ana", 0, 0): 1, ("Não identificado", 0, 0): 1})
+    main(spark, ["arrivals", str(tmp_path / "in"), "--log", str(tmp_path / "log"),
+                 "--bronze", "cli_arrivals"])
+    assert sources.scan(spark, Layers("cli_arrivals").bronze).count() == 2
+    for wrong in (["ingest"], ["arrivals", "x"]):
+        with pytest.raises(SystemExit):
+            main(spark, wrong)
