@@ -34,6 +34,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
                         help="type of amounts, such as decimal(18,2)")
     parser.add_argument("--strip-whitespace", action="store_true")
     parser.add_argument("--on-error", choices=["null", "fail"], default="null")
+    parser.add_argument("--report", action="store_true",
+                        help="after refresh, print the quality of the raw rows")
     args = parser.parse_args(argv)
     if args.step in ("ingest", "arrivals") and not args.folder:
         parser.error(f"{args.step} needs a folder")
@@ -59,14 +61,16 @@ def main(spark: SparkSession, argv: list[str] | None = None) -> None:
     if args.step == "ingest":
         sources.append_history(spark, args.folder, layers.bronze, fmt=args.format)
     elif args.step == "arrivals":
-        streaming.ingest_arrivals(spark, args.folder, layers.bronze, args.log)
+        streaming.ingest_arrivals(
+            spark, args.folder, layers.bronze, args.log, fmt=args.format)
     elif args.step == "check":
         check(spark, layers)
     else:
         report = plans.refresh(
             spark, layers, fmt=args.format, money_type=args.money,
             strip_whitespace=args.strip_whitespace, on_error=args.on_error)
-        print(json.dumps(report.get, indent=2))
+        if args.report:
+            print(json.dumps(report.get, indent=2))
 
 
 if __name__ == "__main__":

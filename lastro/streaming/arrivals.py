@@ -10,7 +10,8 @@ from lastro.sources.deliveries import traceable, with_origin
 
 def ingest_arrivals(spark: SparkSession, folder: str, table: str,
                     checkpoint: str, schema: str = DELIVERY_SCHEMA,
-                    max_files: int | None = None, **options: str) -> None:
+                    max_files: int | None = None, fmt: str | None = None,
+                    **options: str) -> None:
     """Append the files that arrived in ``folder`` since the last call.
 
     Runs until all present files are loaded, then stops. ``checkpoint`` holds
@@ -18,15 +19,16 @@ def ingest_arrivals(spark: SparkSession, folder: str, table: str,
     a call repeated after a failure neither loses nor doubles rows.
     ``max_files`` bounds one micro-batch when a backlog is large.
 
-    The table must be written by this function only: Spark's file sink keeps
-    a log of its files and readers ignore any that are not in it.
+    Unless ``fmt`` names a transactional format, the table must be written by
+    this function only: Spark's file sink keeps a log of its files and readers
+    ignore any that are not in it.
     """
     if max_files is not None:
         options["maxFilesPerTrigger"] = str(max_files)
     arrived = traceable(spark.readStream, schema, **options).csv(folder)
     query = (with_origin(arrived).writeStream
              .outputMode("append")
-             .format("parquet")
+             .format(fmt or "parquet")
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)
              .toTable(table))

@@ -212,7 +212,7 @@ def test_steps_from_the_command_line(spark, tmp_path, capsys):
     main(spark, ["ingest", str(tmp_path / "in"), *where])
     main(spark, ["check", *where])
     assert "Qtd_duplicatas" in capsys.readouterr().out
-    main(spark, ["refresh", "--money", "decimal(18,2)", *where])
+    main(spark, ["refresh", "--report", "--money", "decimal(18,2)", *where])
     assert '"nulos_nome_cliente": 1' in capsys.readouterr().out
     risk = sources.scan(spark, Layers("cli_b", "cli_s", "cli_g").risk_monitor)
     assert bag(risk) == Counter({("Ana", 0, 0): 1, ("Não identificado", 0, 0): 1})
