@@ -11,6 +11,8 @@ def local_session(cpus: int | str = 8, app: str = "lastro", memory: str = "8g",
                   **conf: str) -> SparkSession:
     """``local[cpus]`` session with its warehouse and stages in a fresh folder.
 
+    ``cpus`` may be "cores,attempts" to let failed tasks be tried again.
+
     Keyword settings use ``__`` for the dots of a Spark key.
     """
     home = tempfile.mkdtemp(prefix="run-", dir="/tmp")

@@ -11,6 +11,6 @@ from lastro.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(cpus=8, app="lastro-tests", memory="4g")
+    session = local_session(cpus="8,4", app="lastro-tests", memory="4g")
     yield session
     session.stop()
