@@ -18,6 +18,7 @@ from lastro.names import (  # noqa: E402
     AMOUNT,
     BAD_FORMAT,
     BALANCE,
+    CANCELLED,
     CITY,
     CORRUPT_RECORD,
     CPF,
@@ -27,6 +28,7 @@ from lastro.names import (  # noqa: E402
     INGESTED_AT,
     NAME,
     SOURCE_FILE,
+    STATUS,
     TRANSACTION_COLUMNS,
     UNKNOWN_NAME,
     Layers,
@@ -160,6 +162,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # quality checks on the raw table
         "null_counts": on_bronze(operators.null_counts),
         "null_percent": on_bronze(lambda b: operators.null_percent(b, NAME)),
+        "null_percent_all": on_bronze(
+            lambda b: operators.null_percent(b, scale=2)),
         "quality_profile": on_bronze(lambda b: operators.quality_profile(
             b, parsed_values(), validity_rules())),
         "cast_rejects": on_bronze(
@@ -183,15 +187,27 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "parse_money_decimal": on_bronze(
             lambda b: operators.parse_money(b, AMOUNT, to="decimal(18,2)")
             .select(ID, F.col(AMOUNT).cast("string").alias(AMOUNT))),
+        "parse_money_double": on_bronze(lambda b: operators.parse_money(
+            b, AMOUNT, to="double").select(ID, AMOUNT)),
         "parse_balance": on_bronze(lambda b: operators.cast_cols(
             b, {BALANCE: "float"}).select(ID, BALANCE)),
         "parse_date": on_bronze(lambda b: operators.cast_cols(
             b, {DATE: "date"}).select(ID, DATE)),
         "silver_clean": on_silver(lambda s: s),
+        "silver_clean_exact": on_silver(
+            lambda s: s.select(
+                ID, CITY, F.col(AMOUNT).cast("string").alias(AMOUNT),
+                F.col(BALANCE).cast("string").alias(BALANCE), DATE),
+            money_type="decimal(18,2)", strip_whitespace=True),
         "project_typed_cols": on_silver(
             lambda s: s.select(AMOUNT, BALANCE, DATE)),
         # data products
         "client_financial_view": on_silver(plans.client_financial_view),
+        "client_view_by_cpf": on_silver(
+            lambda s: plans.client_financial_view(s, key=CPF)),
+        "client_view_not_cancelled": on_silver(
+            lambda s: plans.client_financial_view(
+                s, where=F.col(STATUS) != CANCELLED)),
         "bank_indicators": on_silver(plans.bank_indicators),
         "bank_distinct_clients": on_silver(
             lambda s: plans.bank_indicators(s, distinct_clients=True)),
@@ -203,6 +219,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "above_mean_threshold": on_silver(
             lambda s: plans.above_mean(s, ID, AMOUNT)),
         "risk_monitor": on_silver(plans.risk_monitor),
+        "risk_monitor_3x": on_silver(
+            lambda s: plans.risk_monitor(s, multiplier=3)),
         # sources and sinks
         "scan_bronze": scan_bronze,
         "scan_silver": saved_silver("scan_silver"),

@@ -86,12 +86,13 @@ WHERE "Qtd_duplicatas" > 1""")
 
 SILVER = over_silver("SELECT * FROM silver")
 
-CLIENT_VIEW = """
-SELECT nome_cliente, count(*) AS qtd_transacoes,
+CLIENT_VIEW_BY = """
+SELECT {key}, count(*) AS qtd_transacoes,
        sum(valor_transacao) AS total_movimentado,
        avg(valor_transacao) AS ticket_medio,
        max(data_transacao) AS ultima_transacao
-FROM silver GROUP BY nome_cliente"""
+FROM silver WHERE {where} GROUP BY {key}"""
+CLIENT_VIEW = CLIENT_VIEW_BY.format(key="nome_cliente", where="TRUE")
 
 BANK = """
 SELECT count({clients}) AS qtd_clientes,
@@ -106,13 +107,19 @@ BANK_INDICATORS = BANK.format(
     mean="avg(valor_transacao)")
 
 THRESHOLD = "(SELECT avg(valor_transacao) * 2 FROM silver)"
-RISK = f"""
+
+
+def risk(threshold: str = THRESHOLD) -> str:
+    return f"""
 SELECT nome_cliente,
        count(*) FILTER (WHERE status_transacao = 'Cancelada') AS qnt_transacoes_canceladas,
-       CAST(sum(CASE WHEN valor_transacao > {THRESHOLD} THEN 1 ELSE 0 END) AS BIGINT)
+       CAST(sum(CASE WHEN valor_transacao > {threshold} THEN 1 ELSE 0 END) AS BIGINT)
          AS qnt_valores_3x_acima_media
 FROM silver GROUP BY nome_cliente"""
 
+
+RISK = risk()
+
 REJECTS = {
     "valor_transacao": lost("valor_transacao", AMOUNT),
     "saldo_apos_transacao": lost("saldo_apos_transacao", BALANCE),
@@ -132,6 +139,10 @@ ORACLES = {
     "null_percent": over_bronze(
         "SELECT round(sum(CASE WHEN nome_cliente IS NULL THEN 1 ELSE 0 END)"
         ' / count(*) * 100) AS "Percentual nulos" FROM bronze'),
+    "null_percent_all": over_bronze(
+        "SELECT " + ", ".join(
+            f"round({null_count(c)} / count(*) * 100, 2) AS {c}" for c in COLUMNS)
+        + " FROM bronze"),
     "quality_profile": over_bronze(
         "SELECT count(*) AS total_linhas, "
         + ", ".join(f"{null_count(c)} AS nulos_{c}" for c in COLUMNS) + ", "
@@ -152,14 +163,26 @@ ORACLES = {
     "parse_money": one_column(AMOUNT, "valor_transacao"),
     "parse_money_decimal": one_column(
         f"CAST({AMOUNT_DECIMAL} AS VARCHAR)", "valor_transacao"),
+    "parse_money_double": one_column(
+        f"TRY_CAST({UNPREFIXED} AS DOUBLE)", "valor_transacao"),
     "parse_balance": one_column(BALANCE, "saldo_apos_transacao"),
     "parse_date": one_column(DATE, "data_transacao"),
     "project_typed_cols": over_silver(
         "SELECT valor_transacao, saldo_apos_transacao, data_transacao FROM silver"),
     "silver_clean": SILVER,
+    "silver_clean_exact": over_bronze(
+        "SELECT id_transacao, "
+        + r"regexp_replace(cidade, '^\s+|\s+$', '', 'g') AS cidade, "
+        + f"CAST({AMOUNT_DECIMAL} AS VARCHAR) AS valor_transacao, "
+        "CAST(TRY_CAST(saldo_apos_transacao AS DECIMAL(18,2)) AS VARCHAR) "
+        f"AS saldo_apos_transacao, {DATE} AS data_transacao FROM bronze"),
     "scan_silver": SILVER,
     "sink_silver_roundtrip": SILVER,
     "client_financial_view": over_silver(CLIENT_VIEW),
+    "client_view_by_cpf": over_silver(
+        CLIENT_VIEW_BY.format(key="cpf", where="TRUE")),
+    "client_view_not_cancelled": over_silver(CLIENT_VIEW_BY.format(
+        key="nome_cliente", where="status_transacao <> 'Cancelada'")),
     "bank_indicators": over_silver(BANK_INDICATORS),
     "bank_distinct_clients": over_silver(BANK.format(
         clients="DISTINCT nome_cliente", volume="sum(valor_transacao)",
@@ -172,6 +195,8 @@ ORACLES = {
         f"SELECT id_transacao, valor_transacao, {THRESHOLD} AS limite, "
         f"valor_transacao > {THRESHOLD} AS acima_do_limite FROM silver"),
     "risk_monitor": over_silver(RISK),
+    "risk_monitor_3x": over_silver(
+        risk("(SELECT avg(valor_transacao) * 3 FROM silver)")),
     "sink_gold_roundtrip": over_silver(CLIENT_VIEW),
     "sink_gold_bank_roundtrip": over_silver(BANK_INDICATORS),
     "sink_gold_risk_roundtrip": over_silver(RISK),
