@@ -129,3 +129,14 @@ def test_summary_holds_both_per_client_products(silver):
     assert bag(summary.select(NAME, *CLIENT_COLUMNS)) == bag(
         plans.client_financial_view(silver))
     assert bag(summary.select(NAME, *RISK_COLUMNS)) == bag(plans.risk_monitor(silver))
+
+
+def test_products_agree_with_sql_over_the_same_table(silver, spark):
+    import oracles
+    silver.createOrReplaceTempView("silver")
+    for product, sql in ((plans.client_financial_view, oracles.CLIENT_VIEW),
+                         (plans.bank_indicators, oracles.BANK_INDICATORS),
+                         (plans.risk_monitor, oracles.RISK)):
+        ours, theirs = product(silver), spark.sql(sql)
+        assert ours.dtypes == theirs.dtypes
+        assert bag(ours) == bag(theirs)
