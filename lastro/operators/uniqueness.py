@@ -53,7 +53,7 @@ def duplicates(df: DataFrame, *keys: str, count_col: str = DUPLICATE_COUNT,
     if size["keys"] <= hot_keys:
         return _with_count(df, counts, keys, renamed, count_col)
 
-    frequent = F.col(quoted(count_col)) * hot_keys > size["rows"]
+    frequent = F.col(quoted(count_col)) > size["rows"] // hot_keys
     hot = stage(counts.filter(frequent), "hot-keys")
     others = df.join(hot, _same_key(df, hot, keys, renamed), "left_anti")
     return _with_count(df, hot, keys, renamed, count_col).unionByName(
