@@ -155,6 +155,20 @@ def test_each_arrival_is_loaded_once(spark, tmp_path):
     assert history.filter(F.col(CORRUPT_RECORD) == "broken").count() == 1
 
 
+def test_a_load_repeated_after_a_failure_doubles_nothing(spark, tmp_path):
+    where = layers("repeated")
+    sources.ensure_schema(spark, where.schema(where.bronze_schema))
+    inbox, log = tmp_path / "in", str(tmp_path / "log")
+    deliver(inbox, "a.csv", LINE, LINE)
+    deliver(inbox, "b.csv", LINE, header=HEADER.replace("cpf,idade", "idade,cpf"))
+    with pytest.raises(Exception, match="FAILED_READ_FILE|header"):
+        streaming.ingest_arrivals(spark, str(inbox), where.bronze, log)
+    deliver(inbox, "b.csv", LINE)
+    for _ in range(2):
+        streaming.ingest_arrivals(spark, str(inbox), where.bronze, log)
+        assert sources.scan(spark, where.bronze).count() == 3
+
+
 # -- the whole refresh --------------------------------------------------
 
 def test_refresh_fills_every_layer(spark):
