@@ -1,4 +1,5 @@
-"""Runs one step of the refresh: ``spark-submit`` this file, or ``python -m lastro``.
+"""Runs one step of the refresh: ``python -m lastro``, or ``spark-submit`` this
+file with the package on the path (``--py-files``).
 
     ingest FOLDER               add the files of a delivery to bronze
     arrivals FOLDER --log DIR   add the files that are new since the last run
