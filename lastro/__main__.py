@@ -54,8 +54,7 @@ def check(spark: SparkSession, layers: Layers) -> None:
     operators.violations(bronze, negative_age()).show()
 
 
-def main(spark: SparkSession, argv: list[str] | None = None) -> None:
-    args = arguments(argv)
+def run(spark: SparkSession, args: argparse.Namespace) -> None:
     layers = Layers(args.bronze, args.silver, args.gold, args.catalog)
     if args.step in ("ingest", "arrivals"):
         sources.ensure_schema(spark, layers.schema(layers.bronze_schema))
@@ -75,4 +74,5 @@ def main(spark: SparkSession, argv: list[str] | None = None) -> None:
 
 
 if __name__ == "__main__":
-    main(SparkSession.builder.appName("lastro").getOrCreate())
+    asked = arguments()
+    run(SparkSession.builder.appName("lastro").getOrCreate(), asked)

@@ -219,7 +219,10 @@ def test_gold_keeps_its_column_names(spark):
 
 
 def test_steps_from_the_command_line(spark, tmp_path, capsys):
-    from lastro.__main__ import main
+    from lastro.__main__ import arguments, run
+
+    def main(spark, argv):
+        run(spark, arguments(argv))
 
     deliver(tmp_path / "in", "a.csv", LINE, LINE.replace("Ana", ""))
     where = ["--bronze", "cli_b", "--silver", "cli_s", "--gold", "cli_g"]
@@ -235,4 +238,4 @@ def test_steps_from_the_command_line(spark, tmp_path, capsys):
     assert sources.scan(spark, Layers("cli_arrivals").bronze).count() == 2
     for wrong in (["ingest"], ["arrivals", "x"]):
         with pytest.raises(SystemExit):
-            main(spark, wrong)
+            arguments(wrong)
