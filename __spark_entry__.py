@@ -37,6 +37,11 @@ from lastro.plans.silver import negative_age, parsed_values, validity_rules  # n
 from lastro.sources.sample import bronze_sample, transactions_from_orders  # noqa: E402
 from oracles import ORACLES  # noqa: E402
 
+try:
+    from lastro.llm import queries as corpus  # noqa: E402
+except ImportError:  # the subpackage is optional, the rest works without it
+    corpus = None
+
 SECOND_DELIVERY_FROM = "1998-01-01"
 
 
@@ -72,7 +77,10 @@ def write_csv(df: DataFrame, folder: str) -> None:
 def deliveries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The raw transactions as two deliveries, older orders first."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    early = F.col("o_orderdate") < F.lit(SECOND_DELIVERY_FROM).cast("timestamp_ntz")
+    # an order without a date belongs to the second delivery, not to neither
+    early = F.coalesce(
+        F.col("o_orderdate") < F.lit(SECOND_DELIVERY_FROM).cast("timestamp_ntz"),
+        F.lit(False))
     return (transactions_from_orders(orders.filter(early)),
             transactions_from_orders(orders.filter(~early)))
 
@@ -159,6 +167,7 @@ def on_silver(query: Callable[[DataFrame], DataFrame], **options):
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator, rule, data product, source and sink."""
     return {
+        **(corpus.queries() if corpus else {}),
         # quality checks on the raw table
         "null_counts": on_bronze(operators.null_counts),
         "null_percent": on_bronze(lambda b: operators.null_percent(b, NAME)),
@@ -239,4 +248,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """The same queries as DuckDB SQL over the same tables."""
-    return dict(ORACLES)
+    return ORACLES | (corpus.oracle_sql() if corpus else {})

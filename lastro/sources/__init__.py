@@ -1,8 +1,9 @@
 from lastro.sources.deliveries import append_history, read_csv
-from lastro.sources.scratch import new_path, shared_folder, stage
+from lastro.sources.scratch import Scratch, new_path, shared_folder, stage
 from lastro.sources.tables import ensure_schema, scan, write_table
 
 __all__ = [
+    "Scratch",
     "append_history",
     "ensure_schema",
     "new_path",

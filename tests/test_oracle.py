@@ -13,11 +13,16 @@ SAME_TYPE = {
 }
 
 
+#: The corpus operators have tests of their own.
+OWN = sorted(set(driver.queries())
+             - set(driver.corpus.queries() if driver.corpus else ()))
+
+
 def test_each_query_has_an_oracle():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(OWN) <= set(driver.oracle_sql())
 
 
-@pytest.mark.parametrize("key", sorted(driver.queries()))
+@pytest.mark.parametrize("key", OWN)
 def test_same_rows_as_duckdb(spark, key):
     names, types, rows = spark_rows(driver.queries()[key](spark, SF))
     their_names, their_types, their_rows = duckdb_rows(
