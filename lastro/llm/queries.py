@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import minhash
+from . import decontaminate, minhash, secrets, tokens
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,9 +20,45 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), minhash.Settings(width=2))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_passages(
+        table(spark, sf_dir, "documents").select("doc_id", "text"),
+        table(spark, sf_dir, "benchmark"), window=10)
+    return found.select(
+        "doc_id", F.col("found.n_words").alias("n_words"),
+        F.col("found.n_hit").alias("n_hit"),
+        F.size("found.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("found.items", ","), 256).alias("items_sha256"),
+        (F.col("found.n_hit") > 0).alias("contaminated"))
+
+
+def op6_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return tokens.count_tokens(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), path,
+        limit=1024).select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, secrets.fit_models(docs), result="spans")
+    place = lambda s: F.concat_ws(":", s.kind, s.start, s.end)
+    base = F.filter("spans", lambda s: s.kind != "random")
+    count = lambda kind: F.size(
+        F.filter("spans", lambda s: s.kind == kind)).cast("long")
+    return found.select(
+        "doc_id", count("assign").alias("n_assign"),
+        count("access").alias("n_access"), count("hex").alias("n_hex"),
+        F.sha2(F.array_join(F.transform(base, place), ","), 256).alias("base_sha256"),
+        F.array_join(F.transform("spans", place), ",").alias("spans"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_minhash": op3_minhash,
+        "op5_decontamination": op5_decontamination,
+        "op6_tokens": op6_tokens,
+        "op7_secrets": op7_secrets,
     }
 
 
