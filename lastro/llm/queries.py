@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, minhash, secrets, tokens
+from ..sources.scratch import Scratch
+from . import decontaminate, minhash, mixing, secrets, tokens
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,12 +54,25 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.transform("spans", place), ",").alias("spans"))
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with Scratch(spark) as scratch:
+        mixed = mixing.mix(
+            table(spark, sf_dir, "documents").select("doc_id", "source", "text"),
+            scratch)
+        scratch.keep("mix")
+    return (mixed.withColumn("repeat", F.explode(F.sequence(F.lit(1), F.col("repeats"))))
+            .select(F.col("id").alias("doc_id"), "size",
+                    F.col("group_size").alias("source_size"), "target",
+                    (F.col("copies") * F.col("size")).alias("taken")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_minhash": op3_minhash,
         "op5_decontamination": op5_decontamination,
         "op6_tokens": op6_tokens,
         "op7_secrets": op7_secrets,
+        "op10_mixing": op10_mixing,
     }
 
 
