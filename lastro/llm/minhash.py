@@ -18,8 +18,8 @@ from .components import connected_components
 
 #: Words whose hashes a worker remembers.
 WORDS_KEPT = 300_000
-#: Rows of one band that are compared in one piece.
-BLOCK = 2000
+#: Rows of one band that are compared in one piece, by signatures and by sets.
+BLOCK, SET_BLOCK = 2000, 500
 _MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -161,7 +161,7 @@ def sketch(docs: DataFrame, settings: Settings, id_col: str = "doc_id",
 
 
 def _classes(rows: DataFrame) -> DataFrame:
-    """(digest, node, n, sig) of each different set that a row with an id has.
+    """(digest, least, node, n, sig) of each different set that a row with an id has.
 
     ``node`` is the smallest id with that set. Where one id is that of several
     sets, the others get a number above every id, made from their digest.
@@ -175,7 +175,7 @@ def _classes(rows: DataFrame) -> DataFrame:
     other = F.xxhash64("digest").bitwiseAND(F.lit(2**61 - 1)) + F.lit(2**62)
     node = F.when(F.col("own") != F.col("digest"), other).otherwise(F.col("least"))
     return classes.join(several, "least", "left").select(
-        "digest", node.alias("node"), "n", "sig")
+        "digest", "least", node.alias("node"), "n", "sig")
 
 
 def _bands(settings: Settings):
@@ -211,131 +211,192 @@ def _signatures_pass(pairs: DataFrame, classes: DataFrame, settings: Settings,
             .select("a", "b"))
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame,
-               settings: Settings, scratch: Scratch, label: str, id_col: str,
-               text_col: str) -> DataFrame:
-    """Pairs (a, b) whose full shingle sets are similar enough.
+def _shingle_sets(nodes: DataFrame, docs: DataFrame, classes: DataFrame,
+                  settings: Settings, scratch: Scratch, label: str, id_col: str,
+                  text_col: str) -> DataFrame:
+    """(node, shingles) of the given nodes, staged under ``label``.
 
-    Sets are made again from the texts that some pair needs, so sets of
+    Sets are made again from the texts that are compared, so sets of
     documents that resemble nothing are never written.
     """
-    ends = (pairs.select(F.col("a").alias("node"))
-            .union(pairs.select(F.col("b").alias("node"))).distinct())
-    need = scratch.stage(classes.select("node", "digest").join(ends, "node"),
-                         f"{label}-need")
-    ids = with_small(need.select("node").distinct(), need.count())
-    texts = (docs.select(F.col(id_col).alias("node"), raw(text_col).alias("text"))
-             .join(ids, "node", "left_semi").select("text"))
+    need = scratch.stage(
+        classes.select("node", "least", "digest").join(nodes.distinct(), "node"),
+        f"{label}-need")
+    ids = with_small(need.select("least").distinct(), need.count())
+    texts = (docs.select(F.col(id_col).alias("least"), raw(text_col).alias("text"))
+             .join(ids, "least", "left_semi").select("text"))
     # a text may repeat under its id, and an id may have other texts
     sets = (texts.mapInArrow(_sets(settings.width),
                              "digest binary, shingles array<long>")
-            .join(need, "digest").groupBy("node")
+            .join(need.select("node", "digest"), "digest").groupBy("node")
             .agg(F.first("shingles").alias("shingles")))
-    sets = scratch.stage(sets, f"{label}-sets")
+    sets = scratch.stage(sets, label)
+    scratch.release(f"{label}-need")
+    return sets
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
+    """Pairs (a, b) whose full shingle sets are similar enough."""
     both = F.size(F.array_intersect("shingles_a", "shingles_b"))
     union = F.size("shingles_a") + F.size("shingles_b") - both
     side = lambda end: sets.select(
         F.col("node").alias(end), F.col("shingles").alias(f"shingles_{end}"))
-    links = (spread_join(pairs, side("a"), "a").join(side("b"), "b")
-             .where(100 * both >= settings.percent * union).select("a", "b"))
-    links = scratch.stage(links, f"{label}-links")
-    scratch.release(f"{label}-need", f"{label}-sets")
-    return links
-
-
-_PAIRED = "band long, i int, j int, side int, node long, c long, n long, sig array<int>"
+    return (spread_join(pairs, side("a"), "a").join(side("b"), "b")
+            .where(100 * both >= settings.percent * union).select("a", "b"))
 
 
-def _compare_blocks(least_equal: int, percent: int):
-    """Pairs of one band and of different components that signatures allow.
+def _in_blocks(rows: DataFrame, block: int, columns: list[str]) -> DataFrame:
+    """Rows of a band dealt so that any two meet in one group (band, i, j).
 
-    Rows come sorted by (band, i, j): the members of two blocks of a band, or
-    of one block with itself. Only pairs that pass leave the task.
+    The members of a band, ``size`` of them, are hashed into blocks of about
+    ``block``. A group holds two blocks, or one with itself, so no task holds
+    more, however many documents share the band.
     """
-    def pairs(group: dict) -> tuple[np.ndarray, np.ndarray]:
-        left, right = group["side"] == 0, group["side"] == 1
-        if not right.any():
-            right = left
-        same_block = right is left
-        a, b = np.flatnonzero(left), np.flatnonzero(right)
-        found_a, found_b = [], []
-        for x in a:
-            y = b[b > x] if same_block else b
-            n, m = group["n"][x], group["n"][y]
-            y = y[(group["c"][y] != group["c"][x])
-                  & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))]
-            if len(y):
-                y = y[(group["sig"][y] == group["sig"][x]).sum(axis=1) >= least_equal]
-                found_a += [x] * len(y)
-                found_b += list(y)
-        p, q = group["node"][found_a], group["node"][found_b]
-        return np.minimum(p, q), np.maximum(p, q)
+    blocks = F.ceil(F.col("size") / block)
+    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    other = F.explode(F.sequence(F.lit(0), blocks.cast("int") - 1))
+    return (rows.withColumn("own", own).withColumn("other", other)
+            .select("band", F.least("own", "other").alias("i"),
+                    F.greatest("own", "other").alias("j"),
+                    F.when(F.col("own") <= F.col("other"), 0).otherwise(1)
+                    .alias("side"), *columns)
+            .repartition("band", "i", "j").sortWithinPartitions("band", "i", "j"))
+
+
+def _groups(batches: Iterator[pa.RecordBatch], values: str,
+            ) -> Iterator[tuple[dict[str, np.ndarray], list[np.ndarray]]]:
+    """Sorted rows, gathered by (band, i, j): their columns and their arrays."""
+    held: dict[str, np.ndarray] = {}
+    lists: list[np.ndarray] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = {f.name: batch.column(f.name).to_numpy(zero_copy_only=False)
+                for f in batch.schema if f.name != values}
+        column = batch.column(values)
+        flat, ends = column.flatten().to_numpy(), column.offsets.to_numpy()
+        ends = ends - ends[0]
+        lists = lists + [flat[s:e].copy() for s, e in zip(ends, ends[1:])]
+        if held:
+            rows = {k: np.concatenate([held[k], rows[k]]) for k in rows}
+        change = np.flatnonzero((np.diff(rows["band"]) != 0) | (np.diff(rows["i"]) != 0)
+                                | (np.diff(rows["j"]) != 0)) + 1
+        cuts = [0, *change]
+        for s, e in zip(cuts, cuts[1:]):
+            yield {k: v[s:e] for k, v in rows.items()}, lists[s:e]
+        held = {k: v[cuts[-1]:] for k, v in rows.items()}
+        lists = lists[cuts[-1]:]
+    if held:
+        yield held, lists
+
+
+def _others(group: dict[str, np.ndarray], percent: int,
+            ) -> Iterator[tuple[int, np.ndarray]]:
+    """Each row and those it is to be compared with: after it, or of the other
+    block; of other components; of a size that allows the similarity."""
+    left, right = np.flatnonzero(group["side"] == 0), np.flatnonzero(group["side"] == 1)
+    n, c = group["n"], group["c"]
+    for x in left:
+        y = right if len(right) else left[left > x]
+        y = y[(c[y] != c[x]) & (100 * np.minimum(n[x], n[y])
+                                >= percent * np.maximum(n[x], n[y]))]
+        if len(y):
+            yield x, y
+
+
+def _with_candidates(settings: Settings):
+    """(band, node) of rows with a partner that signatures allow.
+
+    A pair counts in the first band that it shares.
+    """
+    def first_band(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        same = (x == y).reshape(len(y), settings.bands, settings.rows).all(axis=2)
+        return same.argmax(axis=1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict | None = None
-
-        def parts(batches):
-            nonlocal held
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                rows = {name: batch.column(name).to_numpy(zero_copy_only=False)
-                        for name in ("band", "i", "j", "side", "node", "c", "n")}
-                rows["sig"] = (batch.column("sig").flatten()
-                               .to_numpy(zero_copy_only=False)
-                               .reshape(batch.num_rows, -1))
-                if held is not None:
-                    rows = {k: np.concatenate([held[k], rows[k]]) for k in rows}
-                change = np.flatnonzero(
-                    (np.diff(rows["band"]) != 0) | (np.diff(rows["i"]) != 0)
-                    | (np.diff(rows["j"]) != 0)) + 1
-                starts = np.concatenate([[0], change])
-                for s, e in zip(starts[:-1], starts[1:]):
-                    yield {k: v[s:e] for k, v in rows.items()}
-                held = {k: v[starts[-1]:] for k, v in rows.items()}
-            if held is not None:
-                yield held
-
-        some: list[tuple[np.ndarray, np.ndarray]] = []
-        waiting = 0
-        for group in parts(batches):
-            found = pairs(group)
-            if len(found[0]):
-                some.append(found)
-                waiting += len(found[0])
-            if waiting > 50_000:
-                yield _pair_batch(some)
-                some, waiting = [], 0
-        yield _pair_batch(some)
+        for group, lists in _groups(batches, "sig"):
+            if (group["c"] == group["c"][0]).all():
+                continue
+            sig, number = np.array(lists), group["number"][0]
+            marked = np.zeros(len(sig), bool)
+            for x, y in _others(group, settings.percent):
+                y = y[(sig[y] == sig[x]).sum(axis=1) >= settings.least_equal]
+                y = y[first_band(sig[x], sig[y]) == number] if len(y) else y
+                marked[y] = True
+                marked[x] |= len(y) > 0
+            if marked.any():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(group["band"][marked]), pa.array(group["node"][marked])],
+                    ["band", "node"])
     return run
 
 
-def _pair_batch(some: list) -> pa.RecordBatch:
-    ends = [np.concatenate([x[k] for x in some] or [np.empty(0, np.int64)])
-            for k in (0, 1)]
-    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in ends],
-                                      ["a", "b"])
+def _linked(percent: int):
+    """Links (a, b) between components, confirmed on full sets.
+
+    Links that would join what a group has joined already are left out, so a
+    group gives fewer of them than it has rows.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group, sets in _groups(batches, "shingles"):
+            if (group["c"] == group["c"][0]).all():
+                continue
+            group["c"] = group["c"].copy()
+            flat = np.concatenate(sets)
+            codes = np.unique(flat, return_inverse=True)[1]
+            ends = np.cumsum([0] + [len(x) for x in sets])
+            mark = np.zeros(len(flat), bool)
+            n, found = group["n"], []
+            for x, y in _others(group, percent):
+                y = y[group["c"][y] != group["c"][x]]  # some were joined meanwhile
+                if not len(y):
+                    continue
+                own = codes[ends[x]:ends[x + 1]]
+                mark[own] = True
+                both = np.add.reduceat(mark[codes], ends[:-1])[y]
+                mark[own] = False
+                y = y[100 * both >= percent * (n[x] + n[y] - both)]
+                for k in y:
+                    if group["c"][k] != group["c"][x]:
+                        found.append((group["node"][x], group["node"][k]))
+                        group["c"][group["c"] == group["c"][k]] = group["c"][x]
+            if found:
+                a, b = zip(*found)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+    return run
 
 
-def _across_components(bands: DataFrame, mixed: DataFrame, members: DataFrame,
-                       settings: Settings) -> DataFrame:
-    """Candidate pairs that share a band but no component yet.
+def _across_components(bands: DataFrame, part: DataFrame, docs: DataFrame,
+                       classes: DataFrame, settings: Settings, scratch: Scratch,
+                       id_col: str, text_col: str) -> DataFrame:
+    """Links (a, b) between documents that share a band but no component yet.
 
-    Blocks of a band are compared two by two, so no task holds more than two
-    of them, however many documents share the band.
+    All pairs of such a band are looked at, in its tasks, and none leaves
+    them: signatures tell which rows of which bands have a partner at all, and
+    only these are sent again with their full sets.
     """
-    shared = bands.join(mixed, "band").join(members, "node")
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1))
-    dealt = (shared.withColumn("own", own).withColumn("other", other)
-             .select("band", F.least("own", "other").alias("i"),
-                     F.greatest("own", "other").alias("j"),
-                     F.when(F.col("own") <= F.col("other"), 0).otherwise(1)
-                     .alias("side"), "node", "c", "n", "sig"))
-    return (dealt.repartition("band", "i", "j")
-            .sortWithinPartitions("band", "i", "j")
-            .mapInArrow(_compare_blocks(settings.least_equal, settings.percent),
-                        "a long, b long").distinct())
+    mixed = scratch.stage(
+        bands.join(part, "node").groupBy("band")
+        .agg(F.min("c").alias("low"), F.max("c").alias("high"),
+             F.count("*").alias("size"))
+        .where("low < high").select("band", "size"), "mixed")
+    rows = (bands.join(mixed, "band")
+            .join(part, "node").join(classes.select("node", "n", "sig"), "node"))
+    marked = scratch.stage(
+        _in_blocks(rows, BLOCK, ["number", "node", "c", "n", "sig"])
+        .mapInArrow(_with_candidates(settings), "band long, node long")
+        .distinct(), "marked")
+    sets = _shingle_sets(marked.select("node"), docs, classes, settings, scratch,
+                         "rest-sets", id_col, text_col)
+    sizes = marked.groupBy("band").agg(F.count("*").alias("size"))
+    rows = (marked.join(sizes, "band").join(part, "node")
+            .join(sets.withColumn("n", F.size("shingles").cast("long")), "node"))
+    links = (_in_blocks(rows, SET_BLOCK, ["node", "c", "n", "shingles"])
+             .mapInArrow(_linked(settings.percent), "a long, b long"))
+    links = scratch.stage(links, "rest")
+    scratch.release("mixed", "marked", "rest-sets")
+    return links
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings(),
@@ -350,6 +411,8 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(),
       band are candidates: first each with the smallest of one of its bands;
       then, once those are linked, all pairs of a band that are still in
       different components. Signatures rule pairs out, full sets confirm them.
+      Within a component no further pair is compared, and no pair that fails
+      is ever written.
     * NULL and empty texts have no shingle and are linked with nothing. Rows
       without an id take no part: their component is NULL, and they are kept.
     * Rows that share an id are one document; links of any of them count.
@@ -368,40 +431,35 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(),
             owned.join(several, "id").select("a", F.col("node").alias("b")),
             "same-id")
 
-        bands = classes.select(
-            "node", F.explode(_bands(settings)).alias("band")).distinct()
-        bands = scratch.stage(bands, "bands")
+        bands = classes.select("node", F.posexplode(_bands(settings))
+                               .alias("number", "band"))
         stars = (bands.groupBy("band")
                  .agg(F.min("node").alias("a"), F.count("*").alias("size"))
                  .where("size > 1").select("band", "a"))
-        pairs = (spread_join(bands, stars, "band").where("a != node")
+        shared = scratch.stage(  # bands of one document are of no use
+            spread_join(scratch.stage(bands, "bands"), stars, "band"), "shared")
+        scratch.release("bands")
+        pairs = (shared.where("a != node")
                  .groupBy("node", "a").agg(F.count("*").alias("times"))
                  .groupBy("node").agg(F.max_by("a", F.struct("times", "a")).alias("a"))
                  .select("a", F.col("node").alias("b")))
         pairs = scratch.stage(pairs, "stars")
         passed = scratch.stage(
             _signatures_pass(pairs, classes, settings), "passed")
-        first = _confirmed(passed, docs, classes, settings, scratch, "first",
-                           id_col, text_col)
+        sets = _shingle_sets(
+            passed.select(F.col("a").alias("node"))
+            .union(passed.select(F.col("b").alias("node"))),
+            docs, classes, settings, scratch, "sets", id_col, text_col)
+        first = scratch.stage(_confirmed(passed, sets, settings), "first")
+        scratch.release("stars", "passed", "sets")
         joined = connected_components(first.union(same_id), scratch, "joined")
 
-        part = classes.select("node").join(joined, "node", "left").select(
-            "node", F.coalesce("component", "node").alias("c"))
-        tagged = bands.join(part, "node")
-        mixed = (tagged.groupBy("band")
-                 .agg(F.min("c").alias("low"), F.max("c").alias("high"),
-                      F.count("*").alias("size"))
-                 .where("low < high")
-                 .select("band", F.ceil(F.col("size") / BLOCK).alias("blocks")))
-        mixed = scratch.stage(mixed, "mixed")
-        members = part.join(classes.select("node", "n", "sig"), "node")
-        rest = scratch.stage(
-            _across_components(bands, mixed, members, settings), "rest")
-        scratch.release("bands", "mixed", "passed", "stars")
-        second = _confirmed(rest, docs, classes, settings, scratch, "second",
-                            id_col, text_col)
-        final = connected_components(
-            joined.union(second), scratch, "final")
+        part = scratch.stage(
+            shared.select("node").distinct().join(joined, "node", "left").select(
+                "node", F.coalesce("component", "node").alias("c")), "part")
+        second = _across_components(shared, part, docs, classes, settings, scratch,
+                                    id_col, text_col)
+        final = connected_components(joined.union(second), scratch, "final")
 
         class_of = (classes.select("digest", "node").join(final, "node", "left")
                     .select("digest", F.coalesce("component", "node").alias("found")))
