@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.scratch import Scratch
-from . import decontaminate, minhash, mixing, secrets, tokens
+from . import (decontaminate, language, minhash, mixing, passages, quality, secrets,
+               tokens, toxicity)
+from .common import fold
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +23,29 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), minhash.Settings(width=2))
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(fold("doc_id", 3) == 1, F.lit(False))
+    model = quality.fit_model(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return quality.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op2_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = passages.repeated_units(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "unit", "start", "end", "words",
+                        F.lower(F.hex("digest")).alias("digest"),
+                        F.col("first_id").alias("first_doc_id"), "first_unit")
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(fold("doc_id", 3) == 1, F.lit(False))
+    model = toxicity.fit_model(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_passages(
         table(spark, sf_dir, "documents").select("doc_id", "text"),
@@ -54,6 +79,14 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.transform("spans", place), ",").alias("spans"))
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(fold("doc_id", 5) == 0, F.lit(False))
+    model = language.fit_model(docs, ~held_out)
+    return language.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     with Scratch(spark) as scratch:
         mixed = mixing.mix(
@@ -68,10 +101,14 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality": op1_quality,
+        "op2_passages": op2_passages,
         "op3_minhash": op3_minhash,
+        "op4_toxicity": op4_toxicity,
         "op5_decontamination": op5_decontamination,
         "op6_tokens": op6_tokens,
         "op7_secrets": op7_secrets,
+        "op8_language": op8_language,
         "op10_mixing": op10_mixing,
     }
 
