@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.scratch import Scratch
-from . import (decontaminate, language, minhash, mixing, passages, quality, secrets,
+from . import (decontaminate, embeddings, language, minhash, mixing, passages, quality, secrets,
                tokens, toxicity)
 from .common import fold
 
@@ -87,6 +87,10 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     with Scratch(spark) as scratch:
         mixed = mixing.mix(
@@ -109,6 +113,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_tokens": op6_tokens,
         "op7_secrets": op7_secrets,
         "op8_language": op8_language,
+        "op9_embeddings": op9_embeddings,
         "op10_mixing": op10_mixing,
     }
 
