@@ -103,6 +103,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("copies") * F.col("size")).alias("taken")))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # it imports this package
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
@@ -115,6 +120,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language": op8_language,
         "op9_embeddings": op9_embeddings,
         "op10_mixing": op10_mixing,
+        "pipeline": pipeline,
     }
 
 
