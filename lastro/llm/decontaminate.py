@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from hashlib import sha256
 
 import ahocorasick
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,8 +25,10 @@ _NORMAL = bytes(
     b + 32 if 0x41 <= b <= 0x5A
     else b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20
     for b in range(256))
-#: Words become single characters; the first stands for any other word.
-_OTHER, _FIRST, _SURROGATES = "\x00", 1, range(0xD800, 0xE000)
+#: A word is spelt as three characters, of one alphabet for each place, so that
+#: no node of the automaton has many children and every match starts at a word.
+_LETTERS, _PLACES = 128, 3
+_OTHER = "\x00" * _PLACES
 
 SPANS = ("array<struct<start:int,end:int,first_word:int,last_word:int>>")
 FOUND = f"n_words long, n_hit long, items array<string>, spans {SPANS}"
@@ -40,16 +41,26 @@ def words_of(text: bytes) -> list[bytes]:
 
 
 class _Vocabulary(dict):
+    """The spelling of each known word; all others are spelt the same."""
+
     def __missing__(self, word: bytes) -> str:
         return _OTHER
 
 
+def _spelling(number: int) -> str:
+    if number >= _LETTERS**_PLACES:
+        raise ValueError("a block of the benchmark has too many different words")
+    return "".join(chr(1 + place * _LETTERS + number // _LETTERS**place % _LETTERS)
+                   for place in range(_PLACES))
+
+
 @dataclass
 class Matcher:
     """The windows of some items, over an alphabet of their words."""
 
     alphabet: _Vocabulary
     automaton: ahocorasick.Automaton | None
+    known: re.Pattern  # runs of known words that are long enough for a window
     lengths: list[int]
     items: list[list[str]]
 
@@ -57,24 +68,22 @@ class Matcher:
     def of(cls, items: list[tuple[str, bytes]], window: int) -> Matcher:
         alphabet, windows = _Vocabulary(), {}
         for item_id, text in items:
-            letters = []
+            spelt = []
             for word in words_of(text):
                 if word not in alphabet:
-                    code = _FIRST + len(alphabet)
-                    if code >= _SURROGATES.start:
-                        code += len(_SURROGATES)
-                    alphabet[word] = chr(code)
-                letters.append(alphabet[word])
-            line = "".join(letters)
-            for k in range(max(1, len(line) - window + 1) if line else 0):
-                windows.setdefault(line[k:k + window], set()).add(item_id)
+                    alphabet[word] = _spelling(len(alphabet))
+                spelt.append(alphabet[word])
+            for k in range(max(1, len(spelt) - window + 1) if spelt else 0):
+                windows.setdefault("".join(spelt[k:k + window]), set()).add(item_id)
         automaton = ahocorasick.Automaton() if windows else None
         for number, line in enumerate(windows):
             automaton.add_word(line, number)
         if automaton is not None:
             automaton.make_automaton()
-        return cls(alphabet, automaton, [len(x) for x in windows],
-                   [sorted(x) for x in windows.values()])
+        lengths = [len(x) // _PLACES for x in windows]
+        shortest = min(lengths, default=1) * _PLACES
+        return cls(alphabet, automaton, re.compile(f"[^\\x00]{{{shortest},}}"),
+                   lengths, [sorted(x) for x in windows.values()])
 
     def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
         """Merged runs of hit words (first, end) and the items that occur."""
@@ -83,13 +92,15 @@ class Matcher:
         if self.automaton is None:
             return [], set()
         line = "".join(map(self.alphabet.__getitem__, words))
-        for last, number in self.automaton.iter(line):
-            found.add(number)
-            start, end = last + 1 - self.lengths[number], last + 1
-            while runs and start <= runs[-1][1]:
-                before = runs.pop()
-                start, end = min(start, before[0]), max(end, before[1])
-            runs.append((start, end))
+        for part in self.known.finditer(line):
+            for last, number in self.automaton.iter(line, part.start(), part.end()):
+                found.add(number)
+                end = (last + 1) // _PLACES
+                start = end - self.lengths[number]
+                while runs and start <= runs[-1][1]:
+                    before = runs.pop()
+                    start, end = min(start, before[0]), max(end, before[1])
+                runs.append((start, end))
         return runs, {i for n in found for i in self.items[n]}
 
 
@@ -107,7 +118,7 @@ def _matcher(items: list[tuple[str, bytes]], window: int) -> Matcher:
 
 def _offsets(text: bytes, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Code points [start, end) in the original text of runs of words."""
-    places = [m.span() for m in _WORD.finditer(text)]
+    places = [m.span() for m in _WORD.finditer(text.lower())]
     ends, at, points = [], 0, 0
     for first, end in runs:
         pair = []
