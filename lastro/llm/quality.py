@@ -257,6 +257,12 @@ def score(docs: DataFrame, model: RuleEnsemble, text_col: str = "text",
     is read where it lies. NULL counts as an empty text. Columns named score
     or predicted are replaced.
     """
-    scored = (with_statistics(docs, text_col).withColumn("score", model.column())
-              .drop(*(f"_q_{name}" for name in STATISTICS)))
-    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    # The row number is never NULL, so it changes nothing. It keeps filters on
+    # the result from being rewritten over the texts, where each rule would
+    # count everything again.
+    scored = with_statistics(docs, text_col).withColumns(
+        {"_raw": model.column(), "_row": F.monotonically_increasing_id()})
+    known = F.when(F.col("_row") >= 0, F.col("_raw"))
+    return (scored.withColumns({"score": known,
+                                "predicted": (known >= threshold).cast("int")})
+            .drop("_raw", "_row", *(f"_q_{name}" for name in STATISTICS)))
