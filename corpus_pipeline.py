@@ -24,10 +24,9 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     train = F.coalesce(fold("doc_id", 3) != 1, F.lit(False))
     model = quality.fit_model(docs.select("doc_id", "text"), labels, train)
-    return (quality.score(docs.select(*(F.col(c).alias(f"_d_{c}") for c in docs.columns)),
-                          model, "_d_text")
-            .where("predicted = 1")
-            .select(*(F.col(f"_d_{c}").alias(c) for c in docs.columns)))
+    own = [f"_own_{c}" for c in docs.columns]  # no column is taken for a score
+    return (quality.score(docs.toDF(*own), model, "_own_text")
+            .where("predicted = 1").select(*own).toDF(*docs.columns))
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

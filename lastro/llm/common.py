@@ -19,6 +19,14 @@ def raw(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit("")).cast("binary")
 
 
+def free(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def bounded_sample(df: DataFrame, key: str, rows: int, seed: int) -> DataFrame:
     """The ``rows`` rows with the smallest hashes of their key.
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import Scratch
-from .common import raw
+from .common import free, raw
 
 #: Bytes of benchmark text that one automaton is built from. A larger
 #: benchmark is cut into blocks, each with an automaton and a scan of its own.
@@ -217,6 +217,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, window: int = 10,
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10,
                   most_share: float = 0.0, **columns) -> DataFrame:
     """The rows of ``docs`` whose share of hit words is at most ``most_share``."""
-    found = find_passages(docs, benchmark, window, result="_found", **columns)
-    return (found.where(F.col("_found.n_hit") <= most_share * F.col("_found.n_words"))
-            .drop("_found"))
+    name = free(docs, "_found")
+    found = find_passages(docs, benchmark, window, result=name, **columns)
+    hit, words = F.col(f"{name}.n_hit"), F.col(f"{name}.n_words")
+    return found.where(hit <= most_share * words).drop(name)

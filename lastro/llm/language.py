@@ -10,13 +10,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import free
 from .features import gram_shares
 
 UNDETERMINED = "und"
 #: Bytes of an n-gram, and bits of its hash.
 GRAM, BITS = 3, 12
 #: Documents that the classifiers are fitted on, over all languages.
-SAMPLE_DOCUMENTS = 4000
+SAMPLE_DOCUMENTS = 3000
 #: Probability of the best language below which a text is ambiguous.
 CLEAR = 0.75
 
@@ -125,7 +126,7 @@ def fit_model(docs: DataFrame, train: Column, text_col: str = "text",
     or id are not used, nor are texts without letters.
     """
     spark = docs.sparkSession
-    some = docs.where(train & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull()
+    some = docs.select(id_col, text_col, lang_col).where(train & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull()
                       & F.col(text_col).isNotNull())
     # a partial limit in each task comes before the shuffle by language
     languages = some.agg(F.count_distinct(lang_col)).first()[0] or 1
@@ -175,5 +176,6 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text",
              pa.array([f[1] < clear for f in found], pa.bool_())],
             ["lang_pred", "score", "ambiguous"])
     names = ["lang_pred", "score", "ambiguous"]
-    found = docs.withColumn("_found", F.arrow_udf(run, PREDICTED)(F.col(text_col)))
-    return found.withColumns({c: F.col(f"_found.{c}") for c in names}).drop("_found")
+    own = free(docs, "_found")
+    found = docs.withColumn(own, F.arrow_udf(run, PREDICTED)(F.col(text_col)))
+    return found.withColumns({c: F.col(f"{own}.{c}") for c in names}).drop(own)

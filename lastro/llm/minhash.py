@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import Scratch
-from .common import raw, spread_join, with_small
+from .common import free, raw, spread_join, with_small
 from .components import connected_components
 
 #: Words whose hashes a worker remembers.
@@ -487,11 +487,12 @@ def deduplicate(docs: DataFrame, settings: Settings = Settings(),
     Rows without an id stay. Of rows that repeat the kept id, one stays.
     """
     found = near_duplicates(docs, settings, id_col, text_col)
-    dropped = found.where("NOT kept").select(F.col(id_col).alias("_gone")).distinct()
-    rows = docs.join(dropped, F.col(id_col) == F.col("_gone"), "left_anti")
+    key = free(docs, "_key")
+    dropped = found.where("NOT kept").select(F.col(id_col).alias(key)).distinct()
     repeated = (found.where(F.col(id_col).isNotNull() & F.col("kept"))
-                .groupBy(F.col(id_col).alias("_twice")).count()
-                .where("count > 1").select("_twice"))
-    twice = F.col(id_col) == F.col("_twice")
-    return rows.join(repeated, twice, "left_anti").unionByName(
-        rows.join(repeated, twice, "left_semi").dropDuplicates([id_col]))
+                .groupBy(F.col(id_col).alias(key)).count().where("count > 1")
+                .select(key))
+    same = F.col(id_col) == F.col(key)
+    rows = docs.join(dropped, same, "left_anti")
+    return rows.join(repeated, same, "left_anti").unionByName(
+        rows.join(repeated, same, "left_semi").dropDuplicates([id_col]))

@@ -8,10 +8,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.scratch import Scratch
-from .common import spread_join
+from .common import free, spread_join
 
 #: Documents of a source that are rounded together.
 BIN_ROWS = 2000
+#: Documents of a bin up to which all ways to round them are compared.
+FEW = 12
 #: Relative gap between a constraint and its target that ends the iterations.
 TOLERANCE = 1e-9
 
@@ -110,6 +112,44 @@ def balance(cells: DataFrame, size: str, constraints: dict[str, str],
     return current.withColumn("rate", rate).drop("_log")
 
 
+def _settle(copies: np.ndarray, size: np.ndarray, whole: np.ndarray,
+            rate: np.ndarray, owed: float, most_steps: int = 20) -> None:
+    """Give or take single copies, or one for another, while less is owed.
+
+    This matters where a bin has few documents. Each stays at its rate rounded
+    down or up.
+    """
+    free_rows = np.flatnonzero((rate > whole) & (size > 0))
+    if 0 < len(free_rows) <= FEW:  # all ways to round a handful
+        ways = np.arange(1 << len(free_rows))[:, None] >> np.arange(len(free_rows)) & 1
+        now = copies[free_rows] - whole[free_rows]
+        change = ways @ size[free_rows] - now @ size[free_rows]
+        best = np.abs(owed - change).argmin()
+        copies[free_rows] = whole[free_rows] + ways[best]
+        return
+    for _ in range(most_steps):
+        up = free_rows[copies[free_rows] == whole[free_rows]]
+        down = free_rows[copies[free_rows] > whole[free_rows]]
+        up = up[np.argsort(size[up], kind="stable")]
+        best = abs(owed) - 0.5, -1, -1
+        for d in (-1, *down):
+            wanted = owed + (size[d] if d >= 0 else 0)
+            near = np.searchsorted(size[up], wanted)
+            for u in (-1, *up[max(0, near - 1):near + 1]):
+                left = abs(wanted - (size[u] if u >= 0 else 0))
+                if left < best[0]:
+                    best = left, u, d
+        _, u, d = best
+        if u < 0 and d < 0:
+            return
+        if u >= 0:
+            copies[u] += 1
+            owed -= size[u]
+        if d >= 0:
+            copies[d] -= 1
+            owed += size[d]
+
+
 def _round_bin(columns: list[str], most: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         size = (rows["size"] * rows["repeats"]).to_numpy(float)
@@ -123,7 +163,8 @@ def _round_bin(columns: list[str], most: int):
             more = size[k] > 0 and whole[k] < most and 2 * owed >= size[k]
             copies[k] = whole[k] + more
             owed -= more * size[k]
-        return rows[columns].assign(copies=copies)
+        _settle(copies, size, whole, rate, owed)
+        return rows[columns].assign(copies=np.where(size > 0, copies, 0))
     return run
 
 
@@ -146,9 +187,9 @@ def mix(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id",
     the documents of a group are dealt by a hash of their id into bins of about
     ``BIN_ROWS``, however many there are. In a bin, from the largest document
     to the smallest, one more copy is taken whenever at least half of it is
-    owed. What is owed in the end is at most half of a small document, so a
-    group misses its target by that for each bin. Ids decide ties, so reruns
-    agree.
+    owed; then single copies are exchanged while that lowers what is owed. It
+    ends at less than half of a small document, and a group misses its target
+    by that for each bin. Ids decide ties, so reruns agree.
 
     Rows that agree in id, group and size are taken alike, as one unit with
     ``repeats``; so are rows without an id. NULL and empty texts have size 0
@@ -188,12 +229,14 @@ def apply_mix(docs: DataFrame, id_col: str = "doc_id", group: str = "source",
     with Scratch(docs.sparkSession) as scratch:
         mixed = mix(docs, scratch, id_col, group, text_col, **options)
         scratch.keep("mix")
+    docs = docs.drop("copy")
+    key, own_group, own_size, times, size = (
+        free(docs, f"_{x}") for x in ("key", "group", "own_size", "times", "size"))
     taken = mixed.where("copies > 0").select(
-        F.col("id").alias("_id"), F.col("group").alias("_group"),
-        F.col("size").alias("_size"), F.col("copies").cast("int").alias("_copies"))
-    matched = (docs.drop("copy").withColumn("_words", words(text_col)).join(
-        taken, F.col(id_col).eqNullSafe(F.col("_id"))
-        & F.col(group).eqNullSafe(F.col("_group"))
-        & (F.col("_words") == F.col("_size"))))
-    return (matched.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-            .drop("_id", "_group", "_size", "_copies", "_words"))
+        F.col("id").alias(key), F.col("group").alias(own_group),
+        F.col("size").alias(own_size), F.col("copies").cast("int").alias(times))
+    matched = docs.withColumn(size, words(text_col)).join(
+        taken, F.col(id_col).eqNullSafe(F.col(key))
+        & F.col(group).eqNullSafe(F.col(own_group)) & (F.col(size) == F.col(own_size)))
+    return (matched.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col(times))))
+            .drop(key, own_group, own_size, times, size))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import Scratch
-from .common import raw
+from .common import free, raw
 
 #: What ends a unit. Sentences end a line's parts at . ! ? and a blank, so a
 #: passage pasted into a longer line is found as well.
@@ -142,9 +142,11 @@ def without_repeats(docs: DataFrame, unit: str = "sentence", least_words: int =
     list. Of rows that share an id, each is cut at the same places, so ids
     should be unique. A column named like ``result`` is replaced.
     """
+    docs = docs.drop(result)
+    key, places = free(docs, "_key"), free(docs, "_places")
     cuts = (repeated_units(docs, unit, least_words, id_col, text_col)
-            .groupBy(F.col(id_col).alias("_id"))
-            .agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("_cuts")))
+            .groupBy(F.col(id_col).alias(key))
+            .agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias(places)))
 
     def run(texts: pa.Array, cuts: pa.Array) -> pa.Array:
         kept = []
@@ -159,7 +161,7 @@ def without_repeats(docs: DataFrame, unit: str = "sentence", least_words: int =
         return pa.array(kept, pa.string())
 
     none = F.array().cast("array<struct<start:int,end:int>>")
-    return (docs.drop(result).join(cuts, F.col(id_col) == F.col("_id"), "left")
+    return (docs.join(cuts, F.col(id_col) == F.col(key), "left")
             .withColumn(text_col, F.arrow_udf(run, "string")(
-                F.col(text_col), F.col("_cuts")))
-            .withColumn(result, F.coalesce("_cuts", none)).drop("_id", "_cuts"))
+                F.col(text_col), F.col(places)))
+            .withColumn(result, F.coalesce(places, none)).drop(key, places))

@@ -32,7 +32,7 @@ STATISTICS = ("log_chars", "word_length", "upper_share", "mark_share", "digit_sh
 
 
 def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with a column ``_q_<name>`` for each of ``STATISTICS``.
+    """``docs`` with a column ``__lastro_q_<name>`` for each of ``STATISTICS``.
 
     All are built-in functions of the whole text; NULL counts as empty, and an
     empty text has 0 everywhere. Counts become columns first and statistics
@@ -40,18 +40,18 @@ def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     words, lines = F.split(text, r"[ \t\r\n]+"), F.split(text, r"\n")
-    counts = {f"_c_{name}": F.regexp_count(text, F.lit(pattern)).cast("double")
+    counts = {f"__lastro_c_{name}": F.regexp_count(text, F.lit(pattern)).cast("double")
               for name, pattern in COUNTED.items()}
-    counts |= {"_c_chars": F.length(text).cast("double"),
-               "_c_kinds": F.size(F.array_distinct(words)).cast("double"),
-               "_c_lines": F.size(lines).cast("double"),
-               "_c_lines_kinds": F.size(F.array_distinct(lines)).cast("double")}
+    counts |= {"__lastro_c_chars": F.length(text).cast("double"),
+               "__lastro_c_kinds": F.size(F.array_distinct(words)).cast("double"),
+               "__lastro_c_lines": F.size(lines).cast("double"),
+               "__lastro_c_lines_kinds": F.size(F.array_distinct(lines)).cast("double")}
 
     def per(part: str, whole: str) -> Column:
-        return F.when(F.col(f"_c_{whole}") > 0,
-                      F.col(f"_c_{part}") / F.col(f"_c_{whole}")).otherwise(0.0)
+        return F.when(F.col(f"__lastro_c_{whole}") > 0,
+                      F.col(f"__lastro_c_{part}") / F.col(f"__lastro_c_{whole}")).otherwise(0.0)
 
-    found = {"log_chars": F.log1p("_c_chars"),
+    found = {"log_chars": F.log1p("__lastro_c_chars"),
              "word_length": per("chars", "words"),
              "upper_share": per("uppers", "chars"),
              "mark_share": per("marks", "chars"),
@@ -60,7 +60,7 @@ def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
              "distinct_lines": per("lines_kinds", "lines")}
     found |= {name: per(name, "words") for name in STATISTICS if name not in found}
     return (docs.withColumns(counts)
-            .withColumns({f"_q_{name}": found[name] for name in STATISTICS})
+            .withColumns({f"__lastro_q_{name}": found[name] for name in STATISTICS})
             .drop(*counts))
 
 
@@ -211,7 +211,7 @@ class RuleEnsemble:
         for rule, weight in zip(self.rules, self.weights):
             whole = F.lit(True)
             for c in rule:
-                value = F.col(f"_q_{self.names[c.statistic]}")
+                value = F.col(f"__lastro_q_{self.names[c.statistic]}")
                 whole = whole & (value > c.value if c.above else value <= c.value)
             terms.append(F.when(whole, weight).otherwise(0.0))
         while len(terms) > 1:  # a balanced sum keeps the expression shallow
@@ -240,8 +240,8 @@ def fit_model(docs: DataFrame, labels: DataFrame, train: Column,
         .select(F.col(id_col), F.col(label_col).cast("int").alias("_label")),
         id_col, documents, seed).select(F.col(id_col).alias("_id"), "_label")
     known = spark.createDataFrame(known.collect(), known.schema)
-    rows = docs.join(F.broadcast(known), F.col(id_col) == F.col("_id"))
-    columns = [f"_q_{name}" for name in STATISTICS]
+    rows = docs.select(id_col, text_col).join(F.broadcast(known), F.col(id_col) == F.col("_id"))
+    columns = [f"__lastro_q_{name}" for name in STATISTICS]
     found = (with_statistics(rows.select("_id", "_label", text_col), text_col)
              .select("_label", *columns, "_id").orderBy("_id", "_label", *columns)
              .collect())
@@ -261,8 +261,8 @@ def score(docs: DataFrame, model: RuleEnsemble, text_col: str = "text",
     # the result from being rewritten over the texts, where each rule would
     # count everything again.
     scored = with_statistics(docs, text_col).withColumns(
-        {"_raw": model.column(), "_row": F.monotonically_increasing_id()})
-    known = F.when(F.col("_row") >= 0, F.col("_raw"))
+        {"__lastro_raw": model.column(), "__lastro_row": F.monotonically_increasing_id()})
+    known = F.when(F.col("__lastro_row") >= 0, F.col("__lastro_raw"))
     return (scored.withColumns({"score": known,
                                 "predicted": (known >= threshold).cast("int")})
-            .drop("_raw", "_row", *(f"_q_{name}" for name in STATISTICS)))
+            .drop("__lastro_raw", "__lastro_row", *(f"__lastro_q_{name}" for name in STATISTICS)))

@@ -12,6 +12,7 @@ from ..sources.scratch import Scratch
 from . import (decontaminate, embeddings, language, minhash, mixing, passages, quality, secrets,
                tokens, toxicity)
 from .common import fold
+from .oracles import ORACLES
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -125,4 +126,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)

@@ -127,7 +127,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, train: Column,
         chosen.append(ids.select(F.col(id_col).alias("_id"), F.lit(flag).alias("_toxic")))
     ids = chosen[0].union(chosen[1])
     ids = spark.createDataFrame(ids.collect(), ids.schema)  # bounded by the sample
-    rows = docs.join(F.broadcast(ids), F.col(id_col) == F.col("_id"))
+    rows = docs.select(id_col, text_col).join(F.broadcast(ids), F.col(id_col) == F.col("_id"))
     return rows.select(F.col("_toxic").alias("toxic"), F.col(text_col).alias("text")), prior
 
 

@@ -1,0 +1,110 @@
+import re
+from collections import Counter
+
+import pytest
+
+from lastro.llm import mixing, queries
+from lastro.sources.scratch import Scratch
+from tests.llm.helpers import awkward, docs, empty, words
+
+
+def true_targets(totals, weights=(5, 2, 1), share=1.5, most=2.0):
+    """The rule as it is told: stop those above, share the excess again."""
+    names = sorted(totals, key=lambda s: (s is None, s))
+    weight = {s: weights[k % len(weights)] for k, s in enumerate(names)}
+    left, open_, target = share * sum(totals.values()), set(names), {}
+    while open_:
+        level = left / sum(weight[s] for s in open_)
+        above = [s for s in open_ if weight[s] * level > most * totals[s]]
+        for s in above or list(open_):
+            target[s] = most * totals[s] if above else weight[s] * level
+            left -= target[s]
+            open_.discard(s)
+    return target
+
+
+@pytest.mark.parametrize("totals", [
+    {"a": 100, "b": 200, "c": 300, "d": 4, None: 50}, {"a": 10}, {"a": 0, "b": 7},
+    {"é": 5, "z": 1000, "Z": 3, "": 9}, {f"s{k}": k * k + 1 for k in range(40)}])
+def test_targets_follow_the_rule(spark, totals):
+    df = spark.createDataFrame(list(totals.items()), "g string, n long")
+    found = {r.g: r.target for r in mixing.weighted_targets(df, "g", "n").collect()}
+    assert found == pytest.approx(true_targets(totals))
+
+
+def test_balance_meets_two_constraints_at_once(spark):
+    cells = spark.createDataFrame(
+        [("a", "x", 100, 150.0, 160.0), ("a", "y", 200, 150.0, 140.0),
+         ("b", "x", 50, 150.0, 160.0), ("b", "y", 300, 150.0, 140.0)],
+        "g string, h string, n long, tg double, th double")
+    with Scratch(spark) as scratch:
+        rows = mixing.balance(cells, "n", {"g": "tg", "h": "th"}, scratch,
+                              most=9).collect()
+    for key, target in (("g", "tg"), ("h", "th")):
+        for value in {r[key] for r in rows}:
+            part = [r for r in rows if r[key] == value]
+            assert sum(r.n * r.rate for r in part) == pytest.approx(part[0][target], rel=1e-5)
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_query_comes_near_its_targets(spark, sf):
+    path = f"/root/testdata/{sf}"
+    table = {r[0]: (r[1], len(re.findall(r"[^\x20\x09-\x0D]+", r[2] or "")))
+             for r in spark.read.parquet(f"{path}/documents.parquet")
+             .select("doc_id", "source", "text").collect()}
+    totals = Counter()
+    for source, size in table.values():
+        totals[source] += size
+    target = true_targets(totals)
+    rows = queries.op10_mixing(spark, path).collect()
+    assert sorted(rows) == sorted(queries.op10_mixing(spark, path).collect())
+    assert {r.doc_id for r in rows} == set(table) and len(rows) == len(table)
+    taken = Counter()
+    for r in rows:
+        source, size = table[r.doc_id]
+        assert (r.size, r.source_size) == (size, totals[source])
+        assert r.target == pytest.approx(target[source])
+        assert 0 <= r.taken <= 2 * size and (size == 0 or r.taken % size == 0)
+        taken[source] += r.taken
+    for source in totals:
+        off = abs(taken[source] - target[source])
+        sizes = [n for s, n in table.values() if s == source]
+        rate = target[source] / totals[source]
+        if len(sizes) <= 12:  # no way to round the rate comes nearer
+            whole = int(rate + 1e-9)
+            best = min(abs(target[source] - sum(
+                n * (whole + (way >> k & 1)) for k, n in enumerate(sizes)))
+                for way in range(1 << len(sizes)))
+            assert off <= best + 1e-6 or rate == whole
+        else:
+            assert off <= max(5, 0.005 * target[source])
+
+
+def test_many_bins_stay_near(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BIN_ROWS", 50)
+    table = docs(spark, [(k, words(1 + k * k % 97, k)) for k in range(900)])
+    rows = [r for r in _mixed(spark, table)]
+    for group in {r.group for r in rows}:
+        part = [r for r in rows if r.group == group]
+        off = sum(r.size * r.copies for r in part) - part[0].target
+        assert abs(off) <= 0.02 * part[0].target
+
+
+def _mixed(spark, table):
+    with Scratch(spark) as scratch:
+        return mixing.mix(table, scratch).collect()
+
+
+def test_awkward_rows(spark):
+    rows = _mixed(spark, awkward(spark, "size target rate"))
+    assert sum(r.repeats for r in rows) == 11
+    assert all(r.copies == 0 for r in rows if r.size == 0)
+    assert all(r.copies <= 2 for r in rows)
+    assert _mixed(spark, empty(spark)) == []
+    assert mixing.apply_mix(empty(spark)).collect() == []
+    table = awkward(spark, "copy _id")
+    out = mixing.apply_mix(awkward(spark, "copy"))
+    assert set(out.columns) == set(awkward(spark, "copy").columns)
+    units = {(r.id, r.group, r.size): (r.copies, r.repeats)
+             for r in _mixed(spark, table)}
+    assert out.count() == sum(c * n for c, n in units.values())
