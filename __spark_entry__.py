@@ -15,6 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from lastro import operators, plans, sources, streaming  # noqa: E402
 from lastro.names import (  # noqa: E402
+    AGE,
     AMOUNT,
     BAD_FORMAT,
     BALANCE,
@@ -100,15 +101,58 @@ def saved_silver(key: str, times: int = 1):
     return run
 
 
-def saved_gold(key: str, product: str):
+def saved_gold(name: str, product: str, where=None, **options):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        layers = private_layers(spark, key, sf_dir)
+        layers = private_layers(spark, name, sf_dir)
         plans.save_silver(bronze_sample(spark, sf_dir), layers)
-        plans.save_gold(sources.scan(spark, layers.silver), layers)
+        plans.save_gold(sources.scan(spark, layers.silver), layers,
+                        where=where() if where else None, **options)
         return sources.scan(spark, getattr(layers, product))
     return run
 
 
+def sink_silver_upper_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver of a bronze table whose columns are spelt in capitals."""
+    layers = private_layers(spark, "sink_silver_upper_case", sf_dir)
+    bronze = bronze_sample(spark, sf_dir)
+    plans.save_silver(bronze.toDF(*[c.upper() for c in bronze.columns]), layers)
+    return spark.table(layers.silver)
+
+
+def text_bronze(bronze: DataFrame) -> DataFrame:
+    """Bronze as an exporter writes it: all text, ages with a decimal point,
+    some beyond an int."""
+    age = F.when(F.col(ID) % 422 == 0, F.lit("-99999999999")).otherwise(
+        F.concat(F.col(AGE).cast("string"), F.lit(".0")))
+    return bronze.select(*[(age if c == AGE else F.col(c).cast("string")).alias(c)
+                           for c in bronze.columns])
+
+
+def ingest_broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the report says of a delivery in which some lines have a field too
+    many or too few, and how the layers take them apart."""
+    layers = private_layers(spark, "ingest_broken_lines", sf_dir)
+    spark.sql(f"DROP TABLE IF EXISTS {layers.bronze}")
+    folder = sources.new_path(spark, "broken")
+    fields = [F.coalesce(F.trim(c), F.lit("")) for c in TRANSACTION_COLUMNS]
+    line = F.concat_ws(",", *fields)
+    broken = (F.when(F.col(ID) % 97 == 0, F.concat(line, F.lit(",a mais")))
+              .when(F.col(ID) % 89 == 0, F.concat_ws(",", *fields[:4]))
+              .otherwise(line))
+    lines = text_bronze(bronze_sample(spark, sf_dir)).select(
+        F.regexp_replace(broken, r"R\$ ?1\.234,56", "7.5"))
+    lines.write.text(folder)
+    sources.append_history(spark, folder, layers.bronze, header="false")
+    report = plans.save_silver(sources.scan(spark, layers.bronze), layers,
+                               corrupt_apart=True).get
+    return spark.table(layers.silver).agg(
+        F.lit(report["total_linhas"]).cast("long").alias("linhas"),
+        F.lit(report["registros_corrompidos"]).cast("long").alias("registros_corrompidos"),
+        F.count("*").alias("transacoes"),
+        F.count(CORRUPT_RECORD).alias("corrompidas_na_prata"),
+        F.lit(spark.table(layers.corrupt).count()).cast("long").alias("corrompidas_a_parte"))
+
+
 def ingest_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = sources.new_path(spark, "csv")
     write_csv(bronze_sample(spark, sf_dir), folder)
@@ -130,13 +174,23 @@ def ingest_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         CORRUPT_RECORD)
 
 
+def look_older(spark: SparkSession, folder: str, days: int) -> None:
+    """Files with a time ``days`` ago, as copies that kept their first time."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    now = spark._jvm.java.lang.System.currentTimeMillis()
+    for status in store.listStatus(path):
+        store.setTimes(status.getPath(), now - days * 86_400_000, -1)
+
+
 def ingest_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = f"{private_layers(spark, 'ingest_arrivals', sf_dir).bronze}"
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     folder = sources.new_path(spark, "arrivals")
     checkpoint = sources.new_path(spark, "arrivals-log")
-    for delivery in deliveries(spark, sf_dir):
+    for number, delivery in enumerate(deliveries(spark, sf_dir)):
         write_csv(delivery, folder)
+        look_older(spark, folder, days=30 * number)
         streaming.ingest_arrivals(spark, folder, table, checkpoint)
     history = sources.scan(spark, table)
     first_load = history.agg(F.min(INGESTED_AT)).scalar()
@@ -174,14 +228,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "null_percent_all": on_bronze(
             lambda b: operators.null_percent(b, scale=2)),
         "quality_profile": on_bronze(lambda b: operators.quality_profile(
-            b, parsed_values(), validity_rules())),
+            b, parsed_values(), validity_rules(b))),
         "cast_rejects": on_bronze(
             lambda b: operators.cast_rejects(b, parsed_values())),
         "duplicates_by_key": on_bronze(lambda b: operators.duplicates(b, ID)),
         "duplicates_by_key_nulls": on_bronze(
             lambda b: operators.duplicates(b, CPF)),
         "invalid_age": on_bronze(
-            lambda b: operators.violations(b, negative_age())),
+            lambda b: operators.violations(b, negative_age(b))),
+        "invalid_age_text": on_bronze(
+            lambda b: operators.violations(t := text_bronze(b), negative_age(t))),
         # cleaning rules
         "fill_null_name": on_bronze(lambda b: operators.fill_null(
             b, NAME, UNKNOWN_NAME).select(ID, NAME)),
@@ -239,8 +295,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "sink_gold_bank_roundtrip", "bank_indicators"),
         "sink_gold_risk_roundtrip": saved_gold(
             "sink_gold_risk_roundtrip", "risk_monitor"),
+        "sink_silver_upper_case": sink_silver_upper_case,
+        "sink_gold_by_cpf": saved_gold(
+            "sink_gold_by_cpf", "client_view", key=CPF),
+        "sink_gold_not_cancelled": saved_gold(
+            "sink_gold_not_cancelled", "risk_monitor",
+            where=lambda: F.col(STATUS) != CANCELLED),
         "ingest_csv": ingest_csv,
         "ingest_history": ingest_history,
+        "ingest_broken_lines": ingest_broken_lines,
         "ingest_arrivals": ingest_arrivals,
         "medallion_refresh": medallion_refresh,
     }

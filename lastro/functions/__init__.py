@@ -5,6 +5,7 @@ from lastro.functions.cells import (
     money,
     trimmed,
     typed,
+    whole_number,
     without_currency,
 )
 
@@ -15,5 +16,6 @@ __all__ = [
     "money",
     "trimmed",
     "typed",
+    "whole_number",
     "without_currency",
 ]

@@ -55,6 +55,18 @@ def typed(value: Column, to: str, on_error: str = "null",
     return F.when(unreadable, F.raise_error(message).cast(to)).otherwise(parsed)
 
 
+def whole_number(value: Column, on_error: str = "null") -> Column:
+    """The value as an int; ``30.0``, as exporters write it, is 30.
+
+    A fraction, and what lies beyond an int, is unreadable.
+    """
+    number = value.try_cast("double")
+    whole = F.when(number == F.floor(number), number)
+    if on_error == "fail":
+        return F.coalesce(whole.try_cast("int"), typed(value, "int", on_error))
+    return whole.try_cast("int")
+
+
 def without_currency(value: Column) -> Column:
     """The text without any currency prefix and the blanks that follow it."""
     return F.regexp_replace(value.cast("string"), CURRENCY_PREFIX, "")

@@ -42,6 +42,7 @@ SILVER_SCHEMA = "camada_prata"
 GOLD_SCHEMA = "camada_ouro"
 BRONZE_TABLE = "br_transacoes_bancarias"
 SILVER_TABLE = "pr_transacoes_bancarias"
+CORRUPT_TABLE = "registros_corrompidos"
 CLIENT_TABLE = "v_finan_cli"
 BANK_TABLE = "v_gral_banco"
 RISK_TABLE = "monit_risco"
@@ -61,6 +62,21 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def same_name(spark, a: str, b: str) -> bool:
+    """Whether two column names are one to this session."""
+    if spark.conf.get("spark.sql.caseSensitive", "false").lower() == "true":
+        return a == b
+    return a.lower() == b.lower()
+
+
+def own_name(df, name: str) -> str:
+    """The column of ``df`` that ``name`` means, as the table spells it."""
+    for column in df.columns:
+        if same_name(df.sparkSession, column, name):
+            return column
+    raise ValueError(f"there is no column {name} among {', '.join(df.columns)}")
+
+
 @dataclass(frozen=True)
 class Layers:
     """Where the three layers live; every schema name is a deployment choice."""
@@ -85,6 +101,10 @@ class Layers:
     def silver(self) -> str:
         return self.table(self.silver_schema, SILVER_TABLE)
 
+    @property
+    def corrupt(self) -> str:
+        return self.table(self.silver_schema, CORRUPT_TABLE)
+
     @property
     def client_view(self) -> str:
         return self.table(self.gold_schema, CLIENT_TABLE)

@@ -1,4 +1,5 @@
 from lastro.plans.gold import (
+    RISK_MULTIPLIER,
     above_mean,
     bank_indicators,
     client_financial_view,
@@ -10,6 +11,7 @@ from lastro.plans.medallion import refresh, save_gold, save_silver
 from lastro.plans.silver import cleaning_rules, refine
 
 __all__ = [
+    "RISK_MULTIPLIER",
     "above_mean",
     "bank_indicators",
     "cleaning_rules",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lastro.names import AMOUNT, CANCELLED, DATE, KIND, NAME, PIX, STATUS
+from lastro.names import AMOUNT, CANCELLED, DATE, KIND, NAME, PIX, STATUS, quoted
 
 # The risk monitor counts amounts above this multiple of the mean. Its column
 # name says three; the rule is two.
@@ -27,6 +27,11 @@ def _kept(silver: DataFrame, where: Column | None) -> DataFrame:
     return silver if where is None else silver.filter(where)
 
 
+def _client(key: str) -> Column:
+    """The column that tells clients apart, whatever characters its name has."""
+    return F.col(quoted(key)).alias(key)
+
+
 def _client_measures() -> list[Column]:
     count, total, mean, last = CLIENT_COLUMNS
     return [
@@ -67,7 +72,7 @@ def client_financial_view(silver: DataFrame, key: str = NAME,
 
     All statuses count, cancelled ones too, unless ``where`` says otherwise.
     """
-    return _kept(silver, where).groupBy(key).agg(*_client_measures())
+    return _kept(silver, where).groupBy(_client(key)).agg(*_client_measures())
 
 
 def bank_indicators(silver: DataFrame, distinct_clients: bool = False,
@@ -100,13 +105,13 @@ def risk_monitor(silver: DataFrame, multiplier: float = RISK_MULTIPLIER,
     rows = _kept(silver, where)
     if threshold is None:
         threshold = mean_threshold(rows, multiplier)
-    return rows.groupBy(key).agg(*_risk_measures(threshold))
+    return rows.groupBy(_client(key)).agg(*_risk_measures(threshold))
 
 
-def client_summary(silver: DataFrame, threshold: Column,
-                   key: str = NAME) -> DataFrame:
+def client_summary(silver: DataFrame, threshold: Column, key: str = NAME,
+                   where: Column | None = None) -> DataFrame:
     """Financial view and risk monitor side by side, from one scan and one
     shuffle; select ``CLIENT_COLUMNS`` or ``RISK_COLUMNS`` to take them apart.
     """
-    return silver.groupBy(key).agg(
+    return _kept(silver, where).groupBy(_client(key)).agg(
         *_client_measures(), *_risk_measures(threshold))

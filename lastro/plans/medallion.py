@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from lastro.names import NAME, Layers
+from lastro.names import NAME, Layers, quoted
 from lastro.plans.gold import (
     CLIENT_COLUMNS,
     RISK_COLUMNS,
@@ -13,49 +13,67 @@ from lastro.plans.gold import (
     bank_indicators,
     client_summary,
 )
-from lastro.plans.silver import refine_observed
-from lastro.sources import ensure_schema, scan, stage, write_table
+from lastro.plans.silver import corrupt_record, refine_observed
+from lastro.sources import Scratch, ensure_schema, scan, write_table
 
 
 def save_silver(bronze: DataFrame, layers: Layers = Layers(),
-                fmt: str | None = None, **rule_options) -> Observation:
+                fmt: str | None = None, corrupt_apart: bool = False,
+                **rule_options) -> Observation:
     """Clean the raw rows, save them, and report on their quality.
 
     The metrics of ``quality_profile`` are counted on the rows while they are
     being written and cost no further pass; ``.get`` on the result gives them
     as a dict. Writing is one stage without a shuffle, in which Spark counts
     every partition once even when its task had to be repeated.
+
+    Rows that broken lines became are kept as transactions and counted as
+    ``registros_corrompidos``. With ``corrupt_apart`` they are written, as they
+    came, to ``layers.corrupt`` in place of silver; this reads bronze a second
+    time.
     """
     report = Observation()
     ensure_schema(bronze.sparkSession, layers.schema(layers.silver_schema))
-    write_table(refine_observed(bronze, report, **rule_options),
-                layers.silver, fmt=fmt)
+    clean = refine_observed(bronze, report, not corrupt_apart, **rule_options)
+    write_table(clean, layers.silver, fmt=fmt)
+    if corrupt_apart:
+        write_table(bronze.filter(corrupt_record(bronze)), layers.corrupt, fmt=fmt)
     return report
 
 
 def save_gold(silver: DataFrame, layers: Layers = Layers(),
-              multiplier: float = RISK_MULTIPLIER,
-              fmt: str | None = None) -> None:
+              multiplier: float = RISK_MULTIPLIER, fmt: str | None = None,
+              key: str = NAME, where: Column | None = None,
+              distinct_clients: bool = False) -> None:
     """Save the three data products from two scans of silver and one shuffle.
 
     The bank indicators come first, because the mean they publish is the one
     the risk threshold needs. Both per-client tables are then cut from a
-    single aggregate.
+    single aggregate. ``where`` limits all three, and so the mean as well;
+    ``key`` tells clients apart; ``distinct_clients`` counts names once.
     """
     spark = silver.sparkSession
     ensure_schema(spark, layers.schema(layers.gold_schema))
-    write_table(bank_indicators(silver), layers.bank_indicators, fmt=fmt)
+    write_table(bank_indicators(silver, distinct_clients, where),
+                layers.bank_indicators, fmt=fmt)
     threshold = spark.table(layers.bank_indicators).select(
         F.col("media_transacoes") * multiplier).scalar()
-    summary = stage(client_summary(silver, threshold), "client-summary")
-    write_table(summary.select(NAME, *CLIENT_COLUMNS), layers.client_view, fmt=fmt)
-    write_table(summary.select(NAME, *RISK_COLUMNS), layers.risk_monitor, fmt=fmt)
+    with Scratch(spark) as scratch:  # the summary holds client names
+        summary = scratch.stage(
+            client_summary(silver, threshold, key, where), "client-summary")
+        client = quoted(key)
+        write_table(summary.select(client, *CLIENT_COLUMNS), layers.client_view, fmt=fmt)
+        write_table(summary.select(client, *RISK_COLUMNS), layers.risk_monitor, fmt=fmt)
 
 
 def refresh(spark: SparkSession, layers: Layers = Layers(),
             multiplier: float = RISK_MULTIPLIER, fmt: str | None = None,
+            key: str = NAME, where: Column | None = None,
+            distinct_clients: bool = False, corrupt_apart: bool = False,
             **rule_options) -> Observation:
     """Rebuild silver from all of bronze, then gold from silver."""
-    report = save_silver(scan(spark, layers.bronze), layers, fmt, **rule_options)
-    save_gold(scan(spark, layers.silver), layers, multiplier, fmt)
+    report = save_silver(scan(spark, layers.bronze), layers, fmt, corrupt_apart,
+                         **rule_options)
+    save_gold(scan(spark, layers.silver), layers, multiplier, fmt, key, where,
+              distinct_clients)
     return report

@@ -13,20 +13,31 @@ from lastro.names import (
     INGESTED_AT,
     SOURCE_FILE,
 )
-from lastro.sources.tables import write_table
+from lastro.sources.tables import (
+    has_stream_log,
+    is_file_format,
+    table_facts,
+    write_table,
+)
 
 # The schema is given, so no pass is spent on inferring it. Headers are
 # checked against it in each file, because a reordered file would otherwise
 # be read into the wrong columns. Records keep to one line each, so that
-# large files split.
+# large files split; with ``multiLine="true"`` a quoted value may hold line
+# ends, and each file is then read by one task.
 CSV_OPTIONS = {"header": "true", "enforceSchema": "false"}
 
 
 def read_csv(spark: SparkSession, paths: str | Sequence[str],
              schema: str = DELIVERY_SCHEMA, **options: str) -> DataFrame:
-    """Delivered files as text columns."""
+    """Delivered files as text columns.
+
+    A line with more or fewer fields than the schema stays whole in
+    ``_registro_corrompido``, as in the history; its other columns hold what
+    could be read of it.
+    """
     paths = paths if isinstance(paths, str) else list(paths)
-    return spark.read.options(**{**CSV_OPTIONS, **options}).schema(schema).csv(paths)
+    return traceable(spark.read, schema, **options).csv(paths)
 
 
 def traceable(reader, schema: str = DELIVERY_SCHEMA, **options: str):
@@ -52,8 +63,15 @@ def append_history(spark: SparkSession, paths: str | Sequence[str], table: str,
     """Add delivered files to the bronze history; earlier rows stay as they are.
 
     Every call loads every file it is given. To load only files not yet
-    loaded, use ``lastro.streaming.ingest_arrivals``.
+    loaded, use ``lastro.streaming.ingest_arrivals``. A file-based table that
+    was written by it is refused before anything is written: its readers see
+    only the files in the stream's log, and would never see these rows.
     """
+    facts = table_facts(spark, table)
+    if (facts and is_file_format(facts.get("provider", ""))
+            and has_stream_log(spark, facts["location"])):
+        raise ValueError(f"{table} is written by ingest_arrivals; rows appended to "
+                         "it would not be seen")
     paths = paths if isinstance(paths, str) else list(paths)
     raw = traceable(spark.read, schema, **options).csv(paths)
     write_table(with_origin(raw), table, mode="append", fmt=fmt)

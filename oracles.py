@@ -52,7 +52,8 @@ DATE = "TRY_CAST(data_transacao AS DATE)"
 
 def silver(amount: str = AMOUNT) -> str:
     return f"""
-SELECT id_transacao, {NAME} AS nome_cliente, {CPF} AS cpf, idade,
+SELECT CAST(id_transacao AS VARCHAR) AS id_transacao, {NAME} AS nome_cliente,
+       {CPF} AS cpf, idade,
        trim(cidade) AS cidade, {amount} AS valor_transacao,
        {BALANCE} AS saldo_apos_transacao, {DATE} AS data_transacao,
        tipo_transacao, status_transacao
@@ -124,6 +125,7 @@ REJECTS = {
     "valor_transacao": lost("valor_transacao", AMOUNT),
     "saldo_apos_transacao": lost("saldo_apos_transacao", BALANCE),
     "data_transacao": lost("data_transacao", DATE),
+    "idade": lost("idade", "idade"),
 }
 
 
@@ -148,7 +150,8 @@ ORACLES = {
         + ", ".join(f"{null_count(c)} AS nulos_{c}" for c in COLUMNS) + ", "
         + ", ".join(f"{sql} AS rejeitados_{c}" for c, sql in REJECTS.items())
         + ", count(*) FILTER (WHERE length(cpf) <> 11) AS cpf_fora_do_padrao"
-        + ", count(*) FILTER (WHERE idade < 0) AS idade_negativa FROM bronze"),
+        + ", count(*) FILTER (WHERE idade < 0) AS idade_negativa"
+        + ", CAST(0 AS BIGINT) AS registros_corrompidos FROM bronze"),
     "cast_rejects": over_bronze(
         "SELECT " + ", ".join(f"{sql} AS {c}" for c, sql in REJECTS.items())
         + " FROM bronze"),
@@ -156,6 +159,12 @@ ORACLES = {
     "duplicates_by_key_nulls": repeated("cpf"),
     "fill_null_name": one_column(NAME, "nome_cliente"),
     "flag_cpf": one_column(CPF, "cpf"),
+    "invalid_age_text": over_bronze(f"""
+SELECT * FROM (
+  SELECT {TEXT.replace("CAST(idade AS VARCHAR)", """CASE WHEN id_transacao % 422 = 0
+    THEN '-99999999999' ELSE concat(CAST(idade AS VARCHAR), '.0') END""")}
+  FROM bronze)
+WHERE CAST(idade AS DOUBLE) < 0"""),
     "invalid_age": over_bronze(f"SELECT {RAW} FROM bronze WHERE idade < 0"),
     "trim_city": one_column("trim(cidade)", "cidade"),
     "strip_city_ws": one_column(
@@ -171,7 +180,7 @@ ORACLES = {
         "SELECT valor_transacao, saldo_apos_transacao, data_transacao FROM silver"),
     "silver_clean": SILVER,
     "silver_clean_exact": over_bronze(
-        "SELECT id_transacao, "
+        "SELECT CAST(id_transacao AS VARCHAR) AS id_transacao, "
         + r"regexp_replace(cidade, '^\s+|\s+$', '', 'g') AS cidade, "
         + f"CAST({AMOUNT_DECIMAL} AS VARCHAR) AS valor_transacao, "
         "CAST(TRY_CAST(saldo_apos_transacao AS DECIMAL(18,2)) AS VARCHAR) "
@@ -200,8 +209,30 @@ ORACLES = {
     "sink_gold_roundtrip": over_silver(CLIENT_VIEW),
     "sink_gold_bank_roundtrip": over_silver(BANK_INDICATORS),
     "sink_gold_risk_roundtrip": over_silver(RISK),
+    "sink_silver_upper_case": over_silver(
+        "SELECT " + ", ".join(f"{c} AS {c.upper()}" for c in COLUMNS)
+        + " FROM silver"),
+    "sink_gold_by_cpf": over_silver(
+        CLIENT_VIEW_BY.format(key="cpf", where="TRUE")),
+    "sink_gold_not_cancelled": over_silver(
+        "SELECT * FROM (" + risk(
+            "(SELECT avg(valor_transacao) * 2 FROM silver "
+            "WHERE status_transacao <> 'Cancelada')").replace(
+            "FROM silver GROUP", "FROM silver WHERE status_transacao <> 'Cancelada' GROUP")
+        + ")"),
+    "ingest_broken_lines": over_bronze("""
+SELECT count(*) AS linhas,
+       count(*) FILTER (WHERE id_transacao % 97 = 0 OR id_transacao % 89 = 0)
+         AS registros_corrompidos,
+       count(*) FILTER (WHERE id_transacao % 97 <> 0 AND id_transacao % 89 <> 0)
+         AS transacoes,
+       CAST(0 AS BIGINT) AS corrompidas_na_prata,
+       count(*) FILTER (WHERE id_transacao % 97 = 0 OR id_transacao % 89 = 0)
+         AS corrompidas_a_parte
+FROM bronze"""),
     "medallion_refresh": over_silver(RISK),
-    "ingest_csv": over_bronze(f"SELECT {TEXT} FROM bronze"),
+    "ingest_csv": over_bronze(
+        f"SELECT {TEXT}, CAST(NULL AS VARCHAR) AS _registro_corrompido FROM bronze"),
     "ingest_history": over_bronze(
         f"SELECT {TEXT}, CASE WHEN primeira_entrega THEN 'entrega-1' "
         "ELSE 'entrega-2' END AS entrega, TRUE AS carregado, "

@@ -44,7 +44,7 @@ def test_report_counts_a_repeated_task_once(spark, small_batches, tmp_path):
     where = Layers("lost_b", "lost_s", "lost_g")
     report = plans.save_silver(failing_once(bronze.repartition(4), tmp_path), where)
     assert report.get == operators.quality_profile(
-        bronze, parsed_values(), validity_rules()).first().asDict()
+        bronze, parsed_values(), validity_rules(bronze)).first().asDict()
     assert bag(sources.scan(spark, where.silver)) == bag(plans.refine(bronze))
     assert len(list(tmp_path.iterdir())) == 4
 

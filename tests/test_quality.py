@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Observation, Window
 from pyspark.sql import functions as F
 
-from lastro import operators
+from lastro import operators, sources
 from lastro.names import AMOUNT, CPF, DUPLICATE_COUNT, ID, NAME, NULL_PERCENT
 from lastro.plans.silver import (
     negative_age,
@@ -67,15 +67,55 @@ def test_a_key_is_required(spark):
 
 
 @pytest.mark.parametrize("hot_keys", [1, 3, 50, 100_000])
+@pytest.mark.parametrize("room", [0, 200, 10**6])
 @pytest.mark.parametrize("keys", [("k",), ("k", "j")])
-def test_hot_keys_change_the_plan_but_not_the_rows(spark, hot_keys, keys):
+def test_hot_keys_change_the_plan_but_not_the_rows(spark, hot_keys, room, keys):
     """One key, and NULL, hold a third of the rows each."""
     i = F.col("id")
     df = spark.range(3000, numPartitions=6).select(
         F.when(i % 3 == 0, 7).when(i % 3 == 1, i % 400 + 100).alias("k"),
         F.when(i % 5 > 0, "x").alias("j"), i.alias("v"))
-    assert bag(operators.duplicates(df, *keys, hot_keys=hot_keys)) == bag(
-        by_window(df, *keys))
+    found = operators.duplicates(df, *keys, hot_keys=hot_keys, broadcast_bytes=room)
+    assert bag(found) == bag(by_window(df, *keys))
+
+
+@pytest.mark.parametrize("skew_join", ["true", "false"])
+@pytest.mark.parametrize("wide", [False, True])
+@pytest.mark.parametrize("room", [100_000, 10**8])
+def test_no_task_gets_the_rows_of_a_frequent_key(spark, skew_join, wide, room):
+    """One key holds a third of the rows; no broadcast but the hinted one."""
+    i = F.col("id")
+    df = sources.stage(spark.range(300_000, numPartitions=12).select(
+        F.when(i % 3 == 0, -1).otherwise(i % 40_000).alias("k"),
+        F.when(i % 3 == 0, F.lit("x" * 200)).otherwise(
+            F.lpad((i % 40_000).cast("string"), 200, "0")).alias("w"), i.alias("v")),
+        "skewed")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.enabled": skew_join,
+                "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in settings}
+    keys = ("k", "w") if wide else ("k",)
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        found = operators.duplicates(df, *keys, hot_keys=100, broadcast_bytes=room)
+        by_task = found.groupBy(F.spark_partition_id()).count().collect()
+        rows = found.agg(F.count("*"), F.sum("v"), F.sum("Qtd_duplicatas")).first()
+        true = by_window(df, *keys).agg(
+            F.count("*"), F.sum("v"), F.sum("Qtd_duplicatas")).first()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert rows == true
+    assert max(r[1] for r in by_task) < 60_000
+
+
+def test_a_count_named_like_a_column_replaces_it(spark):
+    df = spark.createDataFrame([(1, 5), (1, 6)], "k int, qtd_duplicatas int")
+    found = operators.duplicates(df, "k")
+    assert found.columns == ["k", "Qtd_duplicatas"]
+    assert bag(found) == Counter({(1, 2): 2})
 
 
 keyed = st.lists(st.tuples(
@@ -147,8 +187,12 @@ def test_violations_only_show_rows(spark):
 
 
 def test_text_ages_are_compared_as_numbers(spark):
-    df = spark.createDataFrame([("-1",), ("x",), ("9",), (None,)], "idade string")
-    assert bag(operators.violations(df, negative_age())) == Counter({("-1",): 1})
+    ages = ["-1", "-1.0", "-5.5", "-99999999999", " -2 ", "x", "9", "-0.0", None, ""]
+    df = spark.createDataFrame([(a,) for a in ages], "idade string")
+    for rule in (negative_age(), negative_age(df)):
+        assert bag(operators.violations(df, rule)) == Counter(
+            {(a,): 1 for a in ages[:5]})
+    assert operators.cast_rejects(df, {"idade": parsed_values()["idade"]}).first()[0] == 4
 
 
 def test_cast_rejects_count_lost_values_not_missing_ones(spark):
@@ -164,7 +208,7 @@ def test_sample_validity(spark):
     bronze = bronze_sample(spark, SF)
     assert operators.violations(bronze, negative_age()).count() == 72
     profile = operators.quality_profile(
-        bronze, parsed_values(), validity_rules()).first().asDict()
+        bronze, parsed_values(), validity_rules(bronze)).first().asDict()
     assert profile["total_linhas"] == 15000
     assert profile["cpf_fora_do_padrao"] == 153
     assert profile["idade_negativa"] == 72
@@ -180,4 +224,4 @@ def test_metrics_observed_on_the_way_equal_a_pass_of_their_own(spark):
     assert observed.schema.simpleString() == refine(bronze).schema.simpleString()
     assert bag(observed) == bag(refine(bronze))
     assert report.get == operators.quality_profile(
-        bronze, parsed_values(), validity_rules()).first().asDict()
+        bronze, parsed_values(), validity_rules(bronze)).first().asDict()
