@@ -150,12 +150,16 @@ def fit_models(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 [pa.array([x for x, _ in found], pa.int32()),
                  pa.array([s for _, s in found], pa.string())], ["label", "string"])
 
-    some = docs.where(F.col(text_col).isNotNull())
+    spark = docs.sparkSession
+    some = docs.select(id_col, text_col).where(F.col(text_col).isNotNull())
     likely = some.where(F.col(text_col).rlike(
         r"(?i)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]|AKIA|[0-9a-f]{24}"))
     rows: list[tuple[int, str]] = []
     for label, source in ((0, some), (1, likely)):
-        sample = (bounded_sample(source.select(id_col, text_col), id_col, documents, seed)
+        # ids are chosen without their texts, which stay where they are read
+        ids = bounded_sample(source.select(id_col), id_col, documents, seed)
+        ids = spark.createDataFrame(ids.distinct().collect(), ids.schema)
+        sample = (some.join(F.broadcast(ids), id_col, "left_semi")
                   .select(text_col).mapInArrow(run, "label int, string string")
                   .where(F.col("label") == label).distinct()
                   .orderBy(F.xxhash64("string"), "string").limit(strings))
