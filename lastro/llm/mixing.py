@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.scratch import Scratch
-from .common import free, spread_join
+from .common import free, spread_join, with_small
 
 #: Documents of a source that are rounded together.
 BIN_ROWS = 2000
@@ -153,7 +153,7 @@ def _settle(copies: np.ndarray, size: np.ndarray, whole: np.ndarray,
 def _round_bin(columns: list[str], most: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         size = (rows["size"] * rows["repeats"]).to_numpy(float)
-        order = np.lexsort((rows["id"].fillna(-1).to_numpy(), -size))
+        order = np.lexsort((rows["id"].astype(str).to_numpy(), -size))
         rows, size = rows.iloc[order], size[order]
         rate = np.minimum(rows["rate"].to_numpy(float), most)
         whole = np.floor(rate + 1e-9)
@@ -236,7 +236,7 @@ def apply_mix(docs: DataFrame, id_col: str = "doc_id", group: str = "source",
         F.col("id").alias(key), F.col("group").alias(own_group),
         F.col("size").alias(own_size), F.col("copies").cast("int").alias(times))
     matched = docs.withColumn(size, words(text_col)).join(
-        taken, F.col(id_col).eqNullSafe(F.col(key))
+        with_small(taken, taken.count()), F.col(id_col).eqNullSafe(F.col(key))
         & F.col(group).eqNullSafe(F.col(own_group)) & (F.col(size) == F.col(own_size)))
     return (matched.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col(times))))
             .drop(key, own_group, own_size, times, size))
