@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from lastro.llm import decontaminate, minhash, mixing, quality, secrets
 from lastro.llm.common import fold
+from lastro.llm.queries import ready
 from lastro.sources.scratch import stage
 
 #: SQL cannot express the fitted stages; tests hold each against brute force.
@@ -60,11 +61,11 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 STAGES = [
-    ("quality classifier", quality_classifier),
-    ("minhash near-dedup", minhash_near_dedup),
-    ("benchmark decontamination", benchmark_decontamination),
-    ("secret scans", secret_scans),
-    ("mixing sources", source_mixing),
+    ("quality classifier", ready(quality_classifier)),
+    ("minhash near-dedup", ready(minhash_near_dedup)),
+    ("benchmark decontamination", ready(benchmark_decontamination)),
+    ("secret scans", ready(secret_scans)),
+    ("mixing sources", ready(source_mixing)),
 ]
 
 

@@ -2,13 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import os
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A list of this many short rows may be broadcast; longer ones are shuffled.
 BROADCAST_ROWS = 1_000_000
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from the folder it lies in.
+
+    That holds for workers on this machine, and on others with the same
+    folder. A cluster without it gets the package by ``--py-files``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    workers = spark.sparkContext.environment
+    paths = [p for p in workers.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        workers["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def fold(key: str, parts: int) -> Column:
     """Which of ``parts`` folds a row is in: crc32 of its id as text."""
     return F.crc32(F.col(key).cast("string")) % parts

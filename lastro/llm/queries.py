@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from ..sources.scratch import Scratch
 from . import (decontaminate, embeddings, language, minhash, mixing, passages, quality, secrets,
                tokens, toxicity)
-from .common import fold
+from .common import fold, importable
 from .oracles import ORACLES
 
 
@@ -109,8 +110,17 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
+def ready(query: Callable) -> Callable:
+    """The query, with this package made importable on the workers first."""
+    @wraps(query)
+    def run(spark: SparkSession, *args) -> DataFrame:
+        importable(spark)
+        return query(spark, *args)
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    return {name: ready(query) for name, query in {
         "op1_quality": op1_quality,
         "op2_passages": op2_passages,
         "op3_minhash": op3_minhash,
@@ -122,7 +132,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_embeddings": op9_embeddings,
         "op10_mixing": op10_mixing,
         "pipeline": pipeline,
-    }
+    }.items()}
 
 
 def oracle_sql() -> dict[str, str]:
