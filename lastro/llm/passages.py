@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from hashlib import blake2b
+from zlib import crc32
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -20,6 +21,10 @@ UNITS = {
     "paragraph": re.compile(rb"(?:[^\n]|\n(?![ \t\r]*\n))+"),
     "sentence": re.compile(rb"[^\r\n.!?]+(?:[.!?]+(?![\s\"')\]])[^\r\n.!?]+)*[.!?]*[\"')\]]*"),
 }
+#: A longer unit is cut before words whose checksum this many divides, so that
+#: a passage without marks, pasted into other words, has pieces of its own.
+LONG_UNIT, ANCHOR = 40, 12
+_WORD = re.compile(rb"[^\t-\r ]+")
 _PIECE = "id long, unit int, start int, end int, words int, digest binary"
 #: A digest with more than this share of all units gets its rows salted.
 _HOT_SHARE, _SALTS = 1 / 2000, 64
@@ -30,6 +35,29 @@ def normal_words(unit: bytes) -> list[bytes]:
     return unit.lower().split()
 
 
+def _pieces(text: bytes, start: int, end: int, least_words: int):
+    """(start, end, words) of a unit, or of the pieces of a long one.
+
+    Cuts depend on the words around them alone: one is made before an anchor
+    word that has at least ``least_words`` words of its piece before it and
+    as many of the unit after it.
+    """
+    words = normal_words(text[start:end])
+    if len(words) <= LONG_UNIT:
+        if words:
+            yield (start + len(text[start:end]) - len(text[start:end].lstrip()),
+                   start + len(text[start:end].rstrip()), words)
+        return
+    spans = [m.span() for m in _WORD.finditer(text, start, end)]
+    first = 0
+    for k, word in enumerate(words):
+        if (k - first >= least_words and len(words) - k >= least_words
+                and crc32(word) % ANCHOR == 0):
+            yield spans[first][0], spans[k - 1][1], words[first:k]
+            first = k
+    yield spans[first][0], spans[-1][1], words[first:]
+
+
 def _units(unit: str, least_words: int):
     pattern = UNITS[unit]
 
@@ -40,12 +68,11 @@ def _units(unit: str, least_words: int):
                 text = text.as_py()
                 plain = text.isascii()
                 at = points = 0
-                for number, m in enumerate(pattern.finditer(text)):
-                    words = normal_words(m[0])
+                found = (piece for m in pattern.finditer(text)
+                         for piece in _pieces(text, *m.span(), least_words))
+                for number, (start, end, words) in enumerate(found):
                     if len(words) < least_words:
                         continue
-                    start = m.start() + len(m[0]) - len(m[0].lstrip())
-                    end = m.start() + len(m[0].rstrip())
                     if plain:
                         place = start, end
                     else:
@@ -75,8 +102,10 @@ def units_of(docs: DataFrame, unit: str = "sentence", least_words: int = 6,
     """(id, unit, start, end, words, digest) of each unit of each text.
 
     ``start`` and ``end`` are code points of the original text without blanks
-    around the unit; ``digest`` is of its lower-cased words. Units of fewer
-    than ``least_words`` words are left out: they repeat by chance.
+    around the unit; ``digest`` is of its lower-cased words. Units of more than
+    ``LONG_UNIT`` words are cut into pieces at words that their checksum marks.
+    Units of fewer than ``least_words`` words are left out: they repeat by
+    chance.
     """
     if unit not in UNITS:
         raise ValueError(f"unit must be one of {', '.join(UNITS)}")

@@ -1,4 +1,5 @@
 import re
+import zlib
 
 from pyspark.sql import functions as F
 
@@ -6,6 +7,7 @@ from lastro.llm import queries
 from lastro.llm.passages import repeated_units, without_repeats
 from tests.llm.helpers import awkward, docs, empty, words
 
+FOLD = {c: c + 32 for c in range(65, 91)}
 SF = "/root/testdata/sf0.001"
 
 
@@ -15,15 +17,22 @@ def brute(rows, pattern, least):
     for key, text in sorted((r for r in rows if r[0] is not None and r[1]),
                             key=lambda r: r[0]):
         for m in re.finditer(pattern, text):
-            body = m[0].strip("\t\n\x0b\x0c\r ")
-            w = tuple(re.findall(r"[^\t-\r ]+", body.encode().lower().decode()))
-            if len(w) < least:
-                continue
-            start = m.start() + len(m[0]) - len(m[0].lstrip("\t\n\x0b\x0c\r "))
-            if w in seen:
-                out.append((key, start, start + len(body), seen[w]))
-            else:
-                seen[w] = key
+            spans = [x.span() for x in re.finditer(r"[^\t-\r ]+", m[0])]
+            w = [m[0][a:b].translate(FOLD) for a, b in spans]
+            cuts = [0]
+            for k in range(len(w)):
+                if (len(w) > 40 and k - cuts[-1] >= least and len(w) - k >= least
+                        and zlib.crc32(w[k].encode()) % 12 == 0):
+                    cuts.append(k)
+            for a, b in zip(cuts, [*cuts[1:], len(w)]):
+                piece = tuple(w[a:b])
+                if len(piece) < least:
+                    continue
+                place = m.start() + spans[a][0], m.start() + spans[b - 1][1]
+                if piece in seen:
+                    out.append((key, *place, seen[piece]))
+                else:
+                    seen[piece] = key
     return sorted(out)
 
 
@@ -52,6 +61,16 @@ def test_a_passage_inside_other_text_is_found(spark):
     assert found.agg(F.min("first_id"), F.max("first_id")).first() == (0, 0)
 
 
+def test_a_passage_without_marks_is_found(spark):
+    passage = words(55, 1)
+    rows = [(k, f"{words(30 + k, 100 + k)} {passage} {words(25, 200 + k)}")
+            for k in range(6)] + [(9, words(150, 400))]
+    found = repeated_units(docs(spark, rows)).collect()
+    assert {r.doc_id for r in found} == {1, 2, 3, 4, 5}
+    text = dict(rows)
+    assert all(text[r.doc_id][r.start:r.end] in passage for r in found)
+
+
 def test_offsets_are_code_points_and_texts_are_cut(spark):
     line = "Ünïcode wörds öf the säme line here"
     table = docs(spark, [(1, f"é first\n{line}\nend"), (2, f"日本 x\n  {line} \nlast"),
