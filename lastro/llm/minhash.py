@@ -160,18 +160,20 @@ def sketch(docs: DataFrame, settings: Settings, id_col: str = "doc_id",
                         "id long, n long, digest binary, sig array<int>"))
 
 
-def _classes(rows: DataFrame) -> DataFrame:
+def _classes(rows: DataFrame, scratch: Scratch) -> DataFrame:
     """(digest, least, node, n, sig) of each different set that a row with an id has.
 
     ``node`` is the smallest id with that set. Where one id is that of several
     sets, the others get a number above every id, made from their digest.
     """
-    classes = (rows.where("id IS NOT NULL AND n > 0").groupBy("digest")
-               .agg(F.min("id").alias("least"), F.first("n").alias("n"),
-                    F.first("sig").alias("sig")))
-    several = (classes.groupBy("least")
-               .agg(F.min("digest").alias("own"), F.count("*").alias("sets"))
-               .where("sets > 1").select("least", "own"))
+    named = rows.where("id IS NOT NULL AND n > 0")
+    several = scratch.stage(
+        named.groupBy("digest").agg(F.min("id").alias("least")).groupBy("least")
+        .agg(F.min("digest").alias("own"), F.count("*").alias("sets"))
+        .where("sets > 1").select("least", "own"), "several")
+    several = with_small(several, several.count())
+    classes = named.groupBy("digest").agg(
+        F.min("id").alias("least"), F.first("n").alias("n"), F.first("sig").alias("sig"))
     other = F.xxhash64("digest").bitwiseAND(F.lit(2**61 - 1)) + F.lit(2**62)
     node = F.when(F.col("own") != F.col("digest"), other).otherwise(F.col("least"))
     return classes.join(several, "least", "left").select(
@@ -196,14 +198,29 @@ def _sizes_allow(settings: Settings):
             >= settings.percent * F.greatest("n_a", "n_b"))
 
 
+def _of_nodes(classes: DataFrame, nodes: DataFrame, scratch: Scratch,
+              label: str) -> DataFrame:
+    """The signatures of some nodes, so that no others are moved for a join."""
+    wanted = scratch.stage(nodes.distinct(), label)
+    return classes.select("node", "n", "sig").join(
+        with_small(wanted, wanted.count()), "node", "left_semi")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(
+        pairs.select(F.col("b").alias("node")))
+
+
 def _signatures_pass(pairs: DataFrame, classes: DataFrame, settings: Settings,
-                     ) -> DataFrame:
+                     scratch: Scratch) -> DataFrame:
     """Pairs (a, b) whose sizes and signatures allow the similarity asked for.
 
     ``a`` may be one class in a third of the pairs, so its side is spread.
     """
+    known = _of_nodes(classes, _ends(pairs), scratch, "star-ends")
+
     def side(end: str) -> DataFrame:
-        return classes.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"),
+        return known.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"),
                               F.col("sig").alias(f"sig_{end}"))
     return (spread_join(pairs, side("a"), "a").join(side("b"), "b")
             .where(_sizes_allow(settings))
@@ -222,13 +239,15 @@ def _shingle_sets(nodes: DataFrame, docs: DataFrame, classes: DataFrame,
     need = scratch.stage(
         classes.select("node", "least", "digest").join(nodes.distinct(), "node"),
         f"{label}-need")
-    ids = with_small(need.select("least").distinct(), need.count())
+    size = need.count()
+    ids = with_small(need.select("least").distinct(), size)
     texts = (docs.select(F.col(id_col).alias("least"), raw(text_col).alias("text"))
              .join(ids, "least", "left_semi").select("text"))
     # a text may repeat under its id, and an id may have other texts
     sets = (texts.mapInArrow(_sets(settings.width),
                              "digest binary, shingles array<long>")
-            .join(need.select("node", "digest"), "digest").groupBy("node")
+            .join(with_small(need.select("node", "digest"), size), "digest")
+            .groupBy("node")
             .agg(F.first("shingles").alias("shingles")))
     sets = scratch.stage(sets, label)
     scratch.release(f"{label}-need")
@@ -381,8 +400,10 @@ def _across_components(bands: DataFrame, part: DataFrame, docs: DataFrame,
         .agg(F.min("c").alias("low"), F.max("c").alias("high"),
              F.count("*").alias("size"))
         .where("low < high").select("band", "size"), "mixed")
-    rows = (bands.join(mixed, "band")
-            .join(part, "node").join(classes.select("node", "n", "sig"), "node"))
+    rows = scratch.stage(bands.select("node", "number", "band").join(mixed, "band")
+                         .join(part, "node"), "mixed-rows")
+    known = _of_nodes(classes, rows.select("node"), scratch, "mixed-nodes")
+    rows = rows.join(known, "node")
     marked = scratch.stage(
         _in_blocks(rows, BLOCK, ["number", "node", "c", "n", "sig"])
         .mapInArrow(_with_candidates(settings), "band long, node long")
@@ -395,7 +416,7 @@ def _across_components(bands: DataFrame, part: DataFrame, docs: DataFrame,
     links = (_in_blocks(rows, SET_BLOCK, ["node", "c", "n", "shingles"])
              .mapInArrow(_linked(settings.percent), "a long, b long"))
     links = scratch.stage(links, "rest")
-    scratch.release("mixed", "marked", "rest-sets")
+    scratch.release("mixed", "mixed-rows", "marked", "rest-sets")
     return links
 
 
@@ -421,7 +442,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(),
     spark = docs.sparkSession
     with Scratch(spark) as scratch:
         rows = scratch.stage(sketch(docs, settings, id_col, text_col), "sketch")
-        classes = scratch.stage(_classes(rows), "classes")
+        classes = scratch.stage(_classes(rows, scratch), "classes")
         owned = spread_join(rows.where("n > 0").select("id", "digest"),
                             classes.select("digest", "node"), "digest")
         several = (owned.where("id IS NOT NULL").groupBy("id")
@@ -445,11 +466,9 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(),
                  .select("a", F.col("node").alias("b")))
         pairs = scratch.stage(pairs, "stars")
         passed = scratch.stage(
-            _signatures_pass(pairs, classes, settings), "passed")
+            _signatures_pass(pairs, classes, settings, scratch), "passed")
         sets = _shingle_sets(
-            passed.select(F.col("a").alias("node"))
-            .union(passed.select(F.col("b").alias("node"))),
-            docs, classes, settings, scratch, "sets", id_col, text_col)
+            _ends(passed), docs, classes, settings, scratch, "sets", id_col, text_col)
         first = scratch.stage(_confirmed(passed, sets, settings), "first")
         scratch.release("stars", "passed", "sets")
         joined = connected_components(first.union(same_id), scratch, "joined")
@@ -493,6 +512,10 @@ def deduplicate(docs: DataFrame, settings: Settings = Settings(),
                 .groupBy(F.col(id_col).alias(key)).count().where("count > 1")
                 .select(key))
     same = F.col(id_col) == F.col(key)
-    rows = docs.join(dropped, same, "left_anti")
+    rows = docs.join(with_small(dropped, dropped.count()), same, "left_anti")
+    times = repeated.count()
+    if times == 0:  # ids are unique, as they should be
+        return rows
+    repeated = with_small(repeated, times)
     return rows.join(repeated, same, "left_anti").unionByName(
         rows.join(repeated, same, "left_semi").dropDuplicates([id_col]))
