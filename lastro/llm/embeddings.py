@@ -34,9 +34,9 @@ class Settings:
     """
 
     cosine: float = 0.95
-    trees: int = 6
+    trees: int = 4
     leaf: int = 600
-    spill: float = 0.025
+    spill: float = 0.02
     crowded: float = 0.6
 
 
