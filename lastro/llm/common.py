@@ -24,6 +24,18 @@ def importable(spark: SparkSession) -> None:
         workers["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
+def short_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Hand texts to Python in batches of at most ``rows``.
+
+    Spark's 10,000 rows of long texts would be a gigabyte in a worker and in
+    its executor. A session that asks for fewer, or was told another number
+    than the default, keeps its own.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(rows))
+
+
 def fold(key: str, parts: int) -> Column:
     """Which of ``parts`` folds a row is in: crc32 of its id as text."""
     return F.crc32(F.col(key).cast("string")) % parts

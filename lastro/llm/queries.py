@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..sources.scratch import Scratch
 from . import (decontaminate, embeddings, language, minhash, mixing, passages, quality, secrets,
                tokens, toxicity)
-from .common import fold, importable
+from .common import fold, importable, short_batches
 from .oracles import ORACLES
 
 
@@ -111,10 +111,11 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ready(query: Callable) -> Callable:
-    """The query, with this package made importable on the workers first."""
+    """The query, in a session made ready for its Python workers first."""
     @wraps(query)
     def run(spark: SparkSession, *args) -> DataFrame:
         importable(spark)
+        short_batches(spark)
         return query(spark, *args)
     return run
 
