@@ -7,6 +7,7 @@ from collections.abc import Iterator
 from hashlib import blake2b
 from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +26,13 @@ UNITS = {
 #: a passage without marks, pasted into other words, has pieces of its own.
 LONG_UNIT, ANCHOR = 40, 12
 _WORD = re.compile(rb"[^\t-\r ]+")
+#: Blank lines part paragraphs.
+_PARAGRAPHS = re.compile(rb"\n(?:[ \t\r]*\n)+")
+#: Sentences and pieces of fewer words are no units of their own beside lines.
+LEAST_SENTENCE = 6
 _PIECE = "id long, unit int, start int, end int, words int, digest binary"
+#: A kind is the first of these that has the unit's extent.
+KINDS = ("line", "paragraph", "sentence")
 #: A digest with more than this share of all units gets its rows salted.
 _HOT_SHARE, _SALTS = 1 / 2000, 64
 
@@ -89,12 +96,66 @@ def _units(unit: str, least_words: int):
     return run
 
 
+def _places(text: bytes):
+    """Byte offsets of ``text`` to code points."""
+    if text.isascii():
+        return lambda at: at
+    points = np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80)
+    return lambda at: int(points[at - 1]) if at else 0
+
+
+def _whole(text: bytes, start: int, end: int) -> tuple[int, int]:
+    """The extent without blanks around it."""
+    part = text[start:end]
+    return end - len(part.lstrip()), start + len(part.rstrip())
+
+
+def _extents(text: bytes) -> dict[tuple[int, int], tuple[int, list[bytes]]]:
+    """(start, end) -> (kind, words) of every line, paragraph, sentence and piece.
+
+    All lines and paragraphs with a word are units, however short or long, and
+    as they are; sentences, and the pieces of long ones, from
+    ``LEAST_SENTENCE`` words. Units of one extent are one.
+    """
+    found: dict[tuple[int, int], tuple[int, list[bytes]]] = {}
+    ends = [0, *(x for m in _PARAGRAPHS.finditer(text) for x in m.span()), len(text)]
+    for kind, spans in enumerate((
+            (m.span() for m in UNITS["line"].finditer(text)),
+            zip(ends[::2], ends[1::2]))):
+        for span in spans:
+            place = _whole(text, *span)
+            if place[0] < place[1] and place not in found:
+                found[place] = kind, normal_words(text[slice(*place)])
+    for m in UNITS["sentence"].finditer(text):
+        for start, end, words in _pieces(text, *m.span(), LEAST_SENTENCE):
+            if len(words) >= LEAST_SENTENCE:
+                found.setdefault((start, end), (2, words))
+    return found
+
+
+def _all_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows: list[tuple] = []
+        for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            text = text.as_py()
+            point = _places(text)
+            for number, ((start, end), (kind, words)) in enumerate(
+                    sorted(_extents(text).items(), key=lambda x: x[0])):
+                digest = blake2b(b" ".join(words), digest_size=16).digest()
+                rows.append((key, number, point(start), point(end), len(words),
+                             digest, kind))
+            if len(rows) > 20_000:
+                yield _batch(rows)
+                rows = []
+        yield _batch(rows)
+
+
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) or [()] * 6
-    kinds = [pa.int64(), *[pa.int32()] * 4, pa.binary()]
+    columns = list(zip(*rows)) or [()] * 7
+    kinds = [pa.int64(), *[pa.int32()] * 4, pa.binary(), pa.int32()]
+    names = ["id", "unit", "start", "end", "words", "digest", "kind"]
     return pa.RecordBatch.from_arrays(
-        [pa.array(c, k) for c, k in zip(columns, kinds)],
-        ["id", "unit", "start", "end", "words", "digest"])
+        [pa.array(c, k) for c, k in zip(columns, kinds)], names[:len(columns)])
 
 
 def units_of(docs: DataFrame, unit: str = "sentence", least_words: int = 6,
@@ -109,10 +170,14 @@ def units_of(docs: DataFrame, unit: str = "sentence", least_words: int = 6,
     """
     if unit not in UNITS:
         raise ValueError(f"unit must be one of {', '.join(UNITS)}")
+    return (_texts(docs, id_col, text_col)
+            .mapInArrow(_units(unit, least_words), _PIECE))
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return (docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
             .select(F.col(id_col).cast("long").alias("id"),
-                    raw(text_col).alias("text"))
-            .mapInArrow(_units(unit, least_words), _PIECE))
+                    raw(text_col).alias("text")))
 
 
 def repeated_units(docs: DataFrame, unit: str = "sentence", least_words: int = 6,
@@ -131,8 +196,37 @@ def repeated_units(docs: DataFrame, unit: str = "sentence", least_words: int = 6
     rows that repeat an id are further occurrences in the order of their
     places, those of one place in no order but counted once as the first.
     """
+    found = _later(units_of(docs, unit, least_words, id_col, text_col),
+                   Scratch(docs.sparkSession), "digests")
+    return found.select(F.col("id").alias(id_col), "unit", "start", "end", "words",
+                        "digest", "first_id", "first_unit")
+
+
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id",
+                      text_col: str = "text") -> DataFrame:
+    """All that occurred before: lines, paragraphs, sentences and their pieces.
+
+    Columns as of ``repeated_units``, and ``kind``. Every line and paragraph
+    that holds a word is compared, of whatever length and whether or not it
+    has blanks; sentences of 6 words and more, and the pieces of long ones,
+    beside them. Kinds share their digests, so a sentence that was a line
+    before is listed; parts of one extent are one unit, of the first kind in
+    ``KINDS``. Occurrences rank as in ``repeated_units``.
+    """
     scratch = Scratch(docs.sparkSession)
-    units = units_of(docs, unit, least_words, id_col, text_col)
+    units = _texts(docs, id_col, text_col).mapInArrow(
+        _all_units, f"{_PIECE}, kind int")
+    kind = F.element_at(F.array(*map(F.lit, KINDS)), F.col("kind") + 1)
+    return _later(units, scratch, "digests").select(
+        F.col("id").alias(id_col), "unit", "start", "end", "words", "digest",
+        "first_id", "first_unit", kind.alias("kind"))
+
+
+def _later(units: DataFrame, scratch: Scratch, label: str) -> DataFrame:
+    """Those of ``units`` whose digest another one by (id, unit, start) had first.
+
+    ``first_id`` and ``first_unit`` are added. ``units`` is read twice.
+    """
     counted = (units.groupBy("digest")
                .agg(F.min(F.struct("id", "unit", "start")).alias("first"),
                     F.count("*").alias("times"))
@@ -140,7 +234,7 @@ def repeated_units(docs: DataFrame, unit: str = "sentence", least_words: int = 6
                        F.col("first.unit").alias("first_unit"),
                        F.col("first.start").alias("first_start"))
                .where("times > 1"))
-    counted = scratch.stage(counted, "digests")
+    counted = scratch.stage(counted, label)
     total = counted.agg(F.sum("times")).first()[0] or 0
     # at most 1 / _HOT_SHARE digests can pass, which bounds the broadcast
     often = (counted.where(F.col("times") > max(20_000, total * _HOT_SHARE))
@@ -157,15 +251,15 @@ def repeated_units(docs: DataFrame, unit: str = "sentence", least_words: int = 6
     here: Column = F.struct("id", "unit", "start")
     first: Column = F.struct("first_id", "first_unit", "first_start")
     return (dealt.join(known, ["digest", "_salt"]).where(here > first)
-            .select(F.col("id").alias(id_col), "unit", "start", "end", "words",
-                    "digest", "first_id", "first_unit"))
+            .drop("_salt", "first_start"))
 
 
-def without_repeats(docs: DataFrame, unit: str = "sentence", least_words: int = 6,
+def without_repeats(docs: DataFrame, unit: str = "all", least_words: int = 6,
                     id_col: str = "doc_id", text_col: str = "text",
                     result: str = "removed") -> DataFrame:
     """``docs`` with repeated units cut out of the texts.
 
+    ``unit`` is one of ``UNITS``, or "all" for what ``repeated_passages`` lists.
     ``result`` lists what was cut as (start, end) in the original text, by
     start. Texts without repeats, and NULL, stay as they are with an empty
     list. Of rows that share an id, each is cut at the same places, so ids
@@ -173,8 +267,9 @@ def without_repeats(docs: DataFrame, unit: str = "sentence", least_words: int =
     """
     docs = docs.drop(result)
     key, places = free(docs, "_key"), free(docs, "_places")
-    cuts = (repeated_units(docs, unit, least_words, id_col, text_col)
-            .groupBy(F.col(id_col).alias(key))
+    found = (repeated_passages(docs, id_col, text_col) if unit == "all" else
+             repeated_units(docs, unit, least_words, id_col, text_col))
+    cuts = (found.groupBy(F.col(id_col).alias(key))
             .agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias(places)))
 
     def run(texts: pa.Array, cuts: pa.Array) -> pa.Array:

@@ -34,10 +34,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = passages.repeated_units(table(spark, sf_dir, "documents"))
+    found = passages.repeated_passages(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "unit", "start", "end", "words",
                         F.lower(F.hex("digest")).alias("digest"),
-                        F.col("first_id").alias("first_doc_id"), "first_unit")
+                        F.col("first_id").alias("first_doc_id"), "first_unit", "kind")
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
