@@ -9,11 +9,12 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from numpy.lib.stride_tricks import sliding_window_view
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.scratch import Scratch
-from .common import free, raw
+from .common import BROADCAST_ROWS, free, raw, spread_join, with_small
 
 #: What ends a unit. Sentences end a line's parts at . ! ? and a blank, so a
 #: passage pasted into a longer line is found as well.
@@ -32,7 +33,17 @@ _PARAGRAPHS = re.compile(rb"\n(?:[ \t\r]*\n)+")
 LEAST_SENTENCE = 6
 _PIECE = "id long, unit int, start int, end int, words int, digest binary"
 #: A kind is the first of these that has the unit's extent.
-KINDS = ("line", "paragraph", "sentence")
+KINDS = ("line", "paragraph", "sentence", "passage")
+#: A run of so many words that occurred before is a passage, wherever it lies.
+PASSAGE = 50
+#: Words of a fingerprint. The least hash among those in each window of PASSAGE
+#: words is taken, so two texts that share a window share its fingerprint.
+PRINT = 16
+#: In scripts without blanks each character stands for a word of a passage.
+_NO_BLANKS = rb"[\xe3-\xe9][\x80-\xbf]{2}|\xe0[\xb8-\xbb][\x80-\xbf]"
+_DENSE = re.compile(_NO_BLANKS)
+_TOKEN = re.compile(_NO_BLANKS + rb"|(?:(?![\xe3-\xe9]|\xe0[\xb8-\xbb])[^\t-\r ])+")
+_BASES = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4D
 #: A digest with more than this share of all units gets its rows salted.
 _HOT_SHARE, _SALTS = 1 / 2000, 64
 
@@ -150,10 +161,186 @@ def _all_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _batch(rows)
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) or [()] * 7
-    kinds = [pa.int64(), *[pa.int32()] * 4, pa.binary(), pa.int32()]
-    names = ["id", "unit", "start", "end", "words", "digest", "kind"]
+class _Codes(dict):
+    """Words to 64-bit hashes, of which some are remembered."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 200_000:
+            self.clear()
+        code = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
+        self[word] = code
+        return code
+
+    def of(self, text: bytes) -> np.ndarray:
+        text = text.lower()
+        found = _TOKEN.findall(text) if _DENSE.search(text) else text.split()
+        return np.fromiter(map(self.__getitem__, found), np.uint64, len(found))
+
+
+def _mixed(codes: np.ndarray) -> np.ndarray:
+    codes = (codes ^ (codes >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return codes ^ (codes >> np.uint64(29))
+
+
+def _hashes(codes: np.ndarray, base: int, first: np.ndarray, last: np.ndarray,
+            ) -> np.ndarray:
+    """A polynomial, modulo 2 to the 64th, of codes ``first`` up to ``last``."""
+    power = np.full(len(codes), base, np.uint64)
+    back = np.full(len(codes), pow(base, -1, 2**64), np.uint64)
+    power[0] = back[0] = 1
+    sums = np.concatenate([np.zeros(1, np.uint64),
+                           np.cumsum(codes * np.cumprod(power))])
+    return (sums[last] - sums[first]) * np.cumprod(back)[first]
+
+
+def _digests(codes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    return np.stack([_hashes(codes, _BASES[0], first, last),
+                     _hashes(_mixed(codes), _BASES[1], first, last)], 1)
+
+
+def _table(parts: list[tuple], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """One batch of the parts' columns, the last of which is 16 bytes a row."""
+    if parts:
+        *columns, digest = (np.concatenate(c) for c in zip(*parts))
+        ends = np.arange(0, 16 * len(digest) + 1, 16, np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [*map(pa.array, columns), pa.Array.from_buffers(
+                pa.binary(), len(digest),
+                [None, pa.py_buffer(ends), pa.py_buffer(digest)])], names)
+
+
+_GROUP = "id long, twin long, unit int, count int, print long, digest binary"
+
+
+def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The fingerprints of a text, each with the group of ``count`` windows, from
+    word ``unit`` on, in which it is the least, and the digest of their words."""
+    known = _Codes()
+    for batch in batches:
+        parts = []
+        keys, twins = (batch.column(k).to_pylist() for k in (0, 1))
+        for key, twin, text in zip(keys, twins, batch.column(2)):
+            codes = known.of(text.as_py())
+            if len(codes) < PASSAGE:
+                continue
+            start = np.arange(len(codes) - PRINT + 1)
+            marks = _mixed(_hashes(codes, _BASES[0], start, start + PRINT))
+            least = sliding_window_view(marks, PASSAGE - PRINT + 1).argmin(axis=1)
+            at, first, count = np.unique(least + np.arange(len(least)),
+                                         return_index=True, return_counts=True)
+            parts.append((np.full(len(at), key), np.full(len(at), twin),
+                          first.astype(np.int32), count.astype(np.int32),
+                          marks[at].view(np.int64),
+                          _digests(codes, first, first + count + PASSAGE - 1)))
+        yield from _table(parts, ["id", "twin", "unit", "count", "print", "digest"])
+
+
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The single windows of the groups in the last column."""
+    known = _Codes()
+    for batch in batches:
+        parts = []
+        keys, twins = (batch.column(k).to_pylist() for k in (0, 1))
+        for key, twin, text, groups in zip(keys, twins, batch.column(2), batch.column(3)):
+            first = np.concatenate([np.arange(g["unit"], g["unit"] + g["count"])
+                                    for g in groups.as_py()])
+            parts.append((np.full(len(first), key), np.full(len(first), twin),
+                          first.astype(np.int32),
+                          _digests(known.of(text.as_py()), first, first + PASSAGE)))
+        yield from _table(parts, ["id", "twin", "unit", "digest"])
+
+
+def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of words, in the last column, with their places and digests."""
+    for batch in batches:
+        rows: list[tuple] = []
+        for key, text, runs in zip(batch.column(0).to_pylist(), batch.column(1),
+                                   batch.column(2)):
+            text = text.as_py()
+            point = _places(text)
+            word = _TOKEN if _DENSE.search(text) else _WORD
+            spans = [m.span() for m in word.finditer(text)]
+            low = text.lower()
+            for run in runs.as_py():
+                own = spans[run["unit"]:run["unit"] + run["words"]]
+                digest = blake2b(b" ".join([low[a:b] for a, b in own]), digest_size=16)
+                rows.append((key, run["unit"], point(own[0][0]), point(own[-1][1]),
+                             len(own), digest.digest(), KINDS.index("passage"),
+                             run["first_id"], run["first_unit"]))
+        yield _batch(rows, first=True)
+
+
+def _long_passages(texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """Runs of PASSAGE words and more that occurred before, to their true ends.
+
+    Two texts that share a window of PASSAGE words share its fingerprint, so
+    only groups of windows whose fingerprint repeats are compared, by 128 bits.
+    A group that occurred before as a whole is such a run. Where a fingerprint
+    has groups that differ, as at the ends of a passage, the first occurrence
+    of each is compared window by window. Adjoining runs that one text had
+    first are one passage, which so ends with the words that repeat.
+    """
+    texts = texts.select("id", F.xxhash64("text").alias("twin"), "text")
+    groups = scratch.stage(texts.mapInArrow(_fingerprints, _GROUP), "groups")
+    twice = scratch.stage(groups.groupBy("print").count().where("count > 1")
+                          .select("print"), "twice")
+    few = twice.count() <= BROADCAST_ROWS
+    shared = scratch.stage(
+        groups.join(F.broadcast(twice), "print") if few
+        else spread_join(groups, twice, "print"), "shared").withColumn("start", F.lit(0))
+    scratch.release("groups", "twice")
+    varied = (shared.groupBy("print")
+              .agg(F.min("digest").alias("low"), F.max("digest").alias("high"))
+              .where("low < high").select("print"))
+    variants = scratch.stage(
+        shared.groupBy("print", "digest")
+        .agg(F.min(F.struct("id", "unit", "count", "twin")).alias("first"))
+        .select("print", "first.*"), "variants")
+    edges = scratch.stage(
+        spread_join(variants, varied, "print").groupBy("id", "twin")
+        .agg(F.collect_list(F.struct("unit", "count")).alias("groups")), "edges")
+    scratch.release("variants")
+    of_text = ["id", "twin"]
+    windows = scratch.stage(
+        texts.join(_listed(edges, "groups"), of_text)
+        .select("id", "twin", "text", "groups")
+        .mapInArrow(_windows, "id long, twin long, unit int, digest binary"), "windows")
+    scratch.release("edges")
+    single = windows.withColumns({"count": F.lit(1), "start": F.lit(0)})
+    columns = ["id", "twin", "unit", "count", "first_id", "first_unit"]
+    later = _later(shared, scratch, "group-digests").select(*columns).union(
+        _later(single, scratch, "window-digests").select(*columns))
+    by = Window.partitionBy(*of_text).orderBy("unit")
+    before = F.lag(F.col("unit") + F.col("count")).over(by)
+    opens = (before.isNull() | (F.col("unit") > before)
+             | (F.lag("first_id").over(by) != F.col("first_id")))
+    end = F.max(F.col("unit") + F.col("count"))
+    runs = (later.distinct()  # texts that repeat with their id give equal rows
+            .withColumn("_opens", opens.cast("int"))
+            .withColumn("_run", F.sum("_opens").over(by)).groupBy(*of_text, "_run")
+            .agg(F.min("unit").alias("unit"),
+                 (end - F.min("unit") + PASSAGE - 1).alias("words"),
+                 F.first("first_id").alias("first_id"),
+                 F.min_by("first_unit", "unit").alias("first_unit"))
+            .groupBy(*of_text).agg(F.sort_array(F.collect_list(F.struct(
+                "unit", "words", "first_id", "first_unit"))).alias("runs")))
+    runs = scratch.stage(runs, "runs")
+    scratch.release("shared", "windows", "group-digests", "window-digests")
+    return (texts.join(_listed(runs, "runs"), of_text).select("id", "text", "runs")
+            .mapInArrow(_found, f"{_PIECE}, kind int, first_id long, first_unit int"))
+
+
+def _listed(lists: DataFrame, column: str) -> DataFrame:
+    """Lists a text, broadcast when all of them are short."""
+    return with_small(lists, lists.agg(F.sum(F.size(column))).first()[0] or 0)
+
+
+def _batch(rows: list[tuple], first: bool = False) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [()] * (9 if first else 7)
+    kinds = [pa.int64(), *[pa.int32()] * 4, pa.binary(), pa.int32(), pa.int64(),
+             pa.int32()]
+    names = ["id", "unit", "start", "end", "words", "digest", "kind", "first_id",
+             "first_unit"]
     return pa.RecordBatch.from_arrays(
         [pa.array(c, k) for c, k in zip(columns, kinds)], names[:len(columns)])
 
@@ -204,7 +391,7 @@ def repeated_units(docs: DataFrame, unit: str = "sentence", least_words: int = 6
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id",
                       text_col: str = "text") -> DataFrame:
-    """All that occurred before: lines, paragraphs, sentences and their pieces.
+    """All that occurred before: lines, paragraphs, sentences, and long passages.
 
     Columns as of ``repeated_units``, and ``kind``. Every line and paragraph
     that holds a word is compared, of whatever length and whether or not it
@@ -212,12 +399,20 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id",
     beside them. Kinds share their digests, so a sentence that was a line
     before is listed; parts of one extent are one unit, of the first kind in
     ``KINDS``. Occurrences rank as in ``repeated_units``.
+
+    Runs of 50 words and more that occurred before are listed as well, from
+    the first to the last word that repeats, wherever they lie in a text and
+    across its lines. Their ``unit`` and ``first_unit`` are the numbers of
+    their first words, and in scripts without blanks each character is a word
+    of them. Each 50 words of a passage occurred before in ``first_id``; where
+    that changes, the next passage begins. One is listed beside its units.
     """
     scratch = Scratch(docs.sparkSession)
-    units = _texts(docs, id_col, text_col).mapInArrow(
-        _all_units, f"{_PIECE}, kind int")
+    texts = _texts(docs, id_col, text_col)
+    units = texts.mapInArrow(_all_units, f"{_PIECE}, kind int")
     kind = F.element_at(F.array(*map(F.lit, KINDS)), F.col("kind") + 1)
-    return _later(units, scratch, "digests").select(
+    found = _later(units, scratch, "digests").unionByName(_long_passages(texts, scratch))
+    return found.select(
         F.col("id").alias(id_col), "unit", "start", "end", "words", "digest",
         "first_id", "first_unit", kind.alias("kind"))
 
