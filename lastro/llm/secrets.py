@@ -28,7 +28,6 @@ KINDS = ("assign", "access", "hex", "random")
 _KEYS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 #: What is judged by the character models: longer runs of key characters.
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
-_MIXED = re.compile(r"(?=.*[0-9]).*[A-Za-z]")
 
 #: Rows that the models are fitted on: documents of the bounded sample, and
 #: strings taken from them for either model.
@@ -106,10 +105,8 @@ class MarkovPair:
 
 
 def candidates(text: str) -> Iterator[re.Match]:
-    """Runs of 16 and more key characters that hold a digit and a letter."""
-    for m in CANDIDATE.finditer(text):
-        if _MIXED.match(m[0]):
-            yield m
+    """Runs of 16 and more key characters, of whatever kinds."""
+    yield from CANDIDATE.finditer(text)
 
 
 def labelled_strings(text: str) -> tuple[list[str], list[str]]:
@@ -179,7 +176,7 @@ def generated_keys(count: int, seed: int) -> list[str]:
 
 
 def ordinary_identifiers() -> list[str]:
-    """Names as programs and pages hold them, so that these are not secrets."""
+    """Names and ruled lines as programs and pages hold them: no secrets."""
     parts = ("get user name set value index page file path item count date version "
              "config default handler request response manager service test table "
              "column update create delete session account message content").split()
@@ -191,7 +188,8 @@ def ordinary_identifiers() -> list[str]:
                       f"{a.upper()}_{b.upper()}_{k}", f"20{10 + k}-0{1 + k % 9}-{b}"]
     digits = ["".join(str((k * j * 7 + j * j) % 10) for j in range(1, 17 + k % 4))
               for k in range(300)]
-    return names + digits
+    rules = [c * k for c in _ALPHABET for k in (16, 24, 40)]
+    return names + digits + rules
 
 
 def spans_of(text: str, models: MarkovPair) -> list[Span]:
