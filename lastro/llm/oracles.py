@@ -91,8 +91,34 @@ FROM embeddings v JOIN reach USING (vec_id) LEFT JOIN counted USING (vec_id)
 GROUP BY v.vec_id
 """
 
+_NEGATIVES = """
+WITH valid AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)::BIGINT) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT a.vec_id AS anchor, b.vec_id AS id, a.label = b.label AS same,
+         coalesce(list_sum(list_transform(range(1, len(a.e) + 1),
+                                          lambda k: a.e[k] * b.e[k])), 0)::BIGINT AS score
+  FROM valid a JOIN valid b ON a.vec_id % 100 = 0 AND a.vec_id != b.vec_id
+    AND len(a.e) = len(b.e)),
+positives AS (
+  SELECT anchor, id, score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) <= 5)
+SELECT p.anchor AS anchor_id, p.id AS positive_id,
+       row_number() OVER (PARTITION BY p.anchor, p.id
+                          ORDER BY n.score DESC, n.id)::INTEGER AS rank,
+       n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN pairs n ON n.anchor = p.anchor AND NOT n.same
+  AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+QUALIFY rank <= 10
+"""
+
 ORACLES = {
     "op3_minhash": _NEAR,
     "op5_decontamination": _PASSAGES,
     "op9_embeddings": _VECTORS,
+    "op13_negatives": _NEGATIVES,
 }

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.scratch import Scratch
-from . import (decontaminate, embeddings, language, minhash, mixing, passages, quality, secrets,
-               tokens, toxicity)
+from . import (decontaminate, embeddings, language, minhash, mixing, negatives, passages, quality,
+               secrets, tokens, toxicity)
 from .common import fold, importable, short_batches
 from .oracles import ORACLES
 
@@ -105,6 +105,13 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("copies") * F.col("size")).alias("taken")))
 
 
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(
+        F.col("label"))
+    return negatives.hard_negatives(
+        table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # it imports this package
     return corpus_pipeline.run(spark, sf_dir)
@@ -132,6 +139,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language": op8_language,
         "op9_embeddings": op9_embeddings,
         "op10_mixing": op10_mixing,
+        "op13_negatives": op13_negatives,
         "pipeline": pipeline,
     }.items()}
 

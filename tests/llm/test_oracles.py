@@ -15,6 +15,6 @@ def test_same_rows_as_duckdb(spark, key):
     assert sorted(names) == sorted(their_names)
     assert rows == their_rows
     assert rows
-    same = {"BIGINT": "bigint", "VARCHAR": "string", "BOOLEAN": "boolean"}
+    same = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "BOOLEAN": "boolean"}
     assert dict(zip(names, types)) == {
         n: same[t] for n, t in zip(their_names, their_types)}
