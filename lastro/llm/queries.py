@@ -9,9 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.scratch import Scratch
+from ..sources.scratch import Scratch, new_path
 from . import (decontaminate, embeddings, language, minhash, mixing, negatives, passages, quality,
-               secrets, tokens, toxicity)
+               secrets, shards, tokens, toxicity)
 from .common import fold, importable, short_batches
 from .oracles import ORACLES
 
@@ -105,6 +105,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("copies") * F.col("size")).alias("taken")))
 
 
+def op12_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with Scratch(spark) as scratch:
+        folder = scratch.paths["store"] = new_path(spark, "token-ids")
+        store = shards.TokenStore.write(
+            table(spark, sf_dir, "documents").select("doc_id", "text"), folder,
+            public_tokenizers.path("byte_bpe_50k.json"))
+        result = scratch.stage(
+            store.documents().withColumnRenamed("key", "doc_id"), "documents")
+        scratch.keep("documents")
+    return result
+
+
 def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(
         F.col("label"))
@@ -139,6 +151,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language": op8_language,
         "op9_embeddings": op9_embeddings,
         "op10_mixing": op10_mixing,
+        "op12_token_ids": op12_token_ids,
         "op13_negatives": op13_negatives,
         "pipeline": pipeline,
     }.items()}

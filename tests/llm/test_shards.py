@@ -1,0 +1,170 @@
+"""Shards of token ids: exact round trips, keyed access, awkward rows."""
+
+import random
+import zlib
+from pathlib import Path
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from lastro.llm import queries
+from lastro.llm.perfect import PerfectHash
+from lastro.llm.shards import Encoder, Reader, Shard, TokenStore
+from lastro.sources.scratch import new_path
+
+from .helpers import awkward, docs, empty, words
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+SF = "/root/testdata/sf0.01"
+LIBRARY = Tokenizer.from_file(PATH)
+ENCODER = Encoder(PATH)
+
+
+def library(text):
+    return LIBRARY.encode(text or "", add_special_tokens=False).ids
+
+
+def expected(rows):
+    """(doc_id, start, n_tokens, crc) of (doc_id, text) rows with distinct ids."""
+    out, start = [], 0
+    for key, text in sorted(rows):
+        ids = [*library(text), 0]
+        out.append((key, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    return out
+
+
+def stored(spark, table, **options):
+    return TokenStore.write(table, new_path(spark, "store"), PATH, **options)
+
+
+def found(store):
+    return sorted(tuple(r) for r in store.documents().collect())
+
+
+PARTS = st.sampled_from([" ", "\n", "\t", "\r\n", "\xa0", " ", "\x1c", "a", "B", "é", "word",
+                         " the", "'s", "'RE", "12", "!", "...", "日本", "🙂", "́", "<|endoftext|>",
+                         "<|", "\x00", "-", "_"])
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.lists(PARTS, max_size=14).map("".join))
+def test_chunks_encode_as_the_library_does(text):
+    assert np.frombuffer(ENCODER.encode([text])[0], ENCODER.kind).tolist() == library(text)
+
+
+def test_vocabularies_of_another_kind_are_encoded_whole():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    other, own = Encoder(path), Tokenizer.from_file(path)
+    assert not other.in_chunks
+    text = "One text, of  some\nwords"
+    assert np.frombuffer(other.encode([text])[0], other.kind).tolist() == own.encode(
+        text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("count", [0, 1, 2, 63, 5000])
+def test_perfect_hash_is_minimal(count):
+    keys = np.random.default_rng(count).choice(10**12, count, replace=False) - 10**9
+    index = PerfectHash.from_bytes(PerfectHash.of(keys).to_bytes())
+    assert sorted(index.find(keys).tolist()) == list(range(count))
+    assert (index.find(np.arange(10**13, 10**13 + 5000)) < 0).all()
+    assert index.words.nbytes * 8 <= 6 * count + 64 * len(index.sizes)
+
+
+def test_perfect_hash_refuses_repeats():
+    with pytest.raises(ValueError, match="distinct"):
+        PerfectHash.of(np.array([3, 3]))
+
+
+def test_query_equals_the_library(spark):
+    rows = [(r[0], r[1]) for r in spark.read.parquet(f"{SF}/documents.parquet")
+            .select("doc_id", "text").collect()]
+    result = queries.op12_token_ids(spark, SF)
+    assert result.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+    assert sorted(tuple(r) for r in result.collect()) == expected(rows)
+
+
+def test_many_shards_and_parts(spark):
+    rows = [(k * 37 % 1000 - 300, words(k % 40, k)) for k in range(1000)]
+    store = stored(spark, docs(spark, rows), shard_bytes=20_000, part_keys=90)
+    assert found(store) == expected(rows)
+    shards = store.shards().orderBy("shard").collect()
+    assert len(shards) > 5
+    # the payloads, put together, are the ids of all documents in order
+    ids = []
+    for path in sorted(Path(store.folder, "ids").glob("part-*")):
+        ids.extend(Shard(path.read_bytes()).ids.tolist())
+    assert ids == [i for _, t in sorted(rows) for i in (*library(t), 0)]
+
+
+def test_keyed_access(spark):
+    rows = [(k * 7 - 900, words(k % 30, k)) for k in range(400)]
+    store = stored(spark, docs(spark, rows), shard_bytes=10_000, part_keys=50)
+    reader = Reader(store.folder)
+    for key, text in random.Random(3).sample(rows, 60):
+        assert reader.ids(key).tolist() == [*library(text), 0]
+    assert reader.ids(-899) is None and reader.ids(10**9) is None
+    asked = spark.createDataFrame([(-900,), (1893,), (-900,), (5,), (None,)], "k long")
+    located = {r["key"]: r["start"] for r in store.locate(asked, "k").collect()}
+    starts = {r[0]: r[1] for r in expected(rows)}
+    assert located == {k: starts[k] for k in (-900, 1893)}
+
+
+def test_rows_that_share_an_id(spark):
+    texts = [words(k % 5, k % 9) for k in range(300)]
+    rows = [(7 if k % 3 else k, t) for k, t in enumerate(texts)]
+    store = stored(spark, docs(spark, rows), shard_bytes=2000, part_keys=40)
+    result = found(store)
+    total = sum(len(library(t)) + 1 for t in texts)
+    assert len(result) == 300
+    assert sorted(r[1] for r in result)[0] == 0
+    assert sum(r[2] for r in result) == total
+    ends = sorted((r[1], r[1] + r[2]) for r in result)
+    assert all(a[1] == b[0] for a, b in zip(ends, ends[1:])) and ends[-1][1] == total
+    assert [r[0] for r in sorted(result, key=lambda r: r[1])] == sorted(r[0] for r in rows)
+    own = store.locate(spark.createDataFrame([(7,)], "key long")).first()
+    assert own["rows"] == 200
+    assert own["start"] == min(r[1] for r in result if r[0] == 7)
+    assert found(stored(spark, docs(spark, rows).repartition(5), shard_bytes=5000)) == result
+
+
+def test_awkward_rows(spark):
+    table = awkward(spark, "key hash place record text_ start shard")
+    result = found_with_null(stored(spark, table))
+    texts = {r["doc_id"]: r["text"] for r in table.collect() if r["doc_id"]}
+    for key, start, length, crc in result:
+        if key is not None:
+            ids = [*library(texts[key]), 0]
+            assert (length, crc) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+    assert sorted(k for k, *_ in result if k is not None) == [1, 2, 2, 3, 4, 5, 6, 7, 8]
+    assert {r[2] for r in result if r[0] in (3, 4)} == {1}
+    last = max(r[1] + r[2] for r in result if r[0] is not None)
+    assert sorted(r[1] >= last for r in result if r[0] is None) == [True, True]
+
+
+def found_with_null(store):
+    return [tuple(r) for r in store.documents().collect()]
+
+
+def test_empty_table(spark):
+    store = stored(spark, empty(spark))
+    assert found(store) == []
+    assert store.locate(spark.createDataFrame([(1,)], "key long")).count() == 0
+    assert Reader(store.folder).ids(1) is None
+
+
+def test_cut_files_are_refused():
+    with pytest.raises(ValueError, match="whole shard"):
+        Shard(b"\x01\x00" * 40)
+
+
+def test_entries_name_ids_that_begin_and_end(spark):
+    store = stored(spark, docs(spark, [(1, "!"), (2, "! !"), (3, "a\n\n\nb")]))
+    rows = store.entries().orderBy("key").select("offset", "n_tokens").collect()
+    assert [tuple(r) for r in rows] == [(0, 2), (2, 3), (5, len(library("a\n\n\nb")) + 1)]
+    assert store.entries().where(F.col("shard") != 0).count() == 0
