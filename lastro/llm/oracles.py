@@ -116,9 +116,49 @@ FROM positives p JOIN pairs n ON n.anchor = p.anchor AND NOT n.same
 QUALIFY rank <= 10
 """
 
+_PHRASES = rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, 'und') AS lang,
+         translate(text, {_LOWER}) AS text FROM documents),
+pieces AS (
+  SELECT lang, row, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM texts),
+words AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+sizes AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM words GROUP BY lang),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+grams AS (
+  SELECT lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase
+  FROM starts, range(1, 6) lengths(k) WHERE i + k - 1 <= len(w)),
+counts AS (
+  SELECT lang, k, phrase, string_split(phrase, ' ') AS w, count(*)::HUGEINT AS f
+  FROM grams GROUP BY lang, k, phrase HAVING count(*) >= 100),
+cuts AS (
+  SELECT c.lang, c.phrase, c.f AS a, l.f AS l, r.f AS r, n, cut,
+         1000 * c.f * n // (l.f * r.f) AS score
+  FROM counts c JOIN range(1, 5) places(cut) ON cut < c.k
+  JOIN counts l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[:cut], ' ')
+  JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[cut + 1:], ' ')
+  JOIN sizes ON sizes.lang = c.lang
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, cut) = 1),
+inner_phrases AS (
+  SELECT DISTINCT lang, f, array_to_string(w[s:s + m - 1], ' ') AS phrase
+  FROM counts, range(2, 5) lengths(m), range(1, 5) starts(s)
+  WHERE m < k AND s + m - 1 <= k),
+kept AS (
+  SELECT * FROM cuts ANTI JOIN inner_phrases i
+  ON i.lang = cuts.lang AND i.phrase = cuts.phrase AND i.f >= cuts.a)
+SELECT lang, row_number() OVER (
+         PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank,
+       phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n,
+       score::BIGINT AS score
+FROM kept QUALIFY rank <= 2000
+"""
+
 ORACLES = {
     "op3_minhash": _NEAR,
     "op5_decontamination": _PASSAGES,
     "op9_embeddings": _VECTORS,
+    "op11_phrases": _PHRASES,
     "op13_negatives": _NEGATIVES,
 }

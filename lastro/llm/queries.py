@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.scratch import Scratch, new_path
-from . import (decontaminate, embeddings, language, minhash, mixing, negatives, passages, quality,
-               secrets, shards, tokens, toxicity)
+from . import (decontaminate, embeddings, language, minhash, mixing, negatives, passages, phrases,
+               quality, secrets, shards, tokens, toxicity)
 from .common import fold, importable, short_batches
 from .oracles import ORACLES
 
@@ -105,6 +105,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("copies") * F.col("size")).alias("taken")))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     with Scratch(spark) as scratch:
         folder = scratch.paths["store"] = new_path(spark, "token-ids")
@@ -151,6 +155,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language": op8_language,
         "op9_embeddings": op9_embeddings,
         "op10_mixing": op10_mixing,
+        "op11_phrases": op11_phrases,
         "op12_token_ids": op12_token_ids,
         "op13_negatives": op13_negatives,
         "pipeline": pipeline,
