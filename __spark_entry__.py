@@ -8,7 +8,7 @@ import re
 import sys
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -174,6 +174,83 @@ def ingest_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         CORRUPT_RECORD)
 
 
+def swapped_headers(df: DataFrame) -> DataFrame:
+    """The same rows as a system that writes two columns the other way round."""
+    other = {CPF: AGE, AGE: CPF}
+    return df.select(*[F.col(other.get(c, c)) for c in df.columns])
+
+
+def of_delivery(path: str) -> Column:
+    return F.regexp_extract(path, r"/(entrega-\w+)/", 1)
+
+
+def ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of three deliveries, one of which has another header: files
+    are judged one by one, and only the wrong ones stay out, also of a second run."""
+    layers = private_layers(spark, "ingest_quarantine", sf_dir)
+    for table in (layers.bronze, layers.ledger):
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    folder = sources.new_path(spark, "judged")
+    early, late = deliveries(spark, sf_dir)
+    write_csv(early, f"{folder}/entrega-1")
+    write_csv(swapped_headers(early), f"{folder}/entrega-trocada")
+    write_csv(late, f"{folder}/entrega-2")
+    for _ in range(2):
+        sources.load_deliveries(spark, f"{folder}/*", layers.bronze, layers.ledger)
+    events = sources.read_ledger(spark, layers.ledger).where("situacao <> 'recebido'")
+    loaded = sources.scan(spark, layers.bronze).groupBy(
+        of_delivery(SOURCE_FILE).alias("entrega")).agg(F.count("*").alias("carregadas"))
+    return (events.groupBy(of_delivery("arquivo").alias("entrega"), "situacao")
+            # the header is a line as well
+            .agg(F.sum(F.col("linhas") - 1).alias("linhas"),
+                 F.count("motivo").alias("arquivos_com_motivo"),
+                 F.count("*").alias("_files"))
+            .join(loaded, "entrega", "left")
+            .select("entrega", "situacao", "linhas",
+                    F.coalesce("carregadas", F.lit(0)).alias("carregadas"),
+                    (F.col("arquivos_com_motivo") == F.col("_files")).alias("com_motivo")))
+
+
+def ingest_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history after one delivery came twice, once more under another name,
+    and then with other content under its old name."""
+    layers = private_layers(spark, "ingest_ledger", sf_dir)
+    for table in (layers.bronze, layers.ledger):
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    folder = sources.new_path(spark, "repeated")
+    early, late = deliveries(spark, sf_dir)
+    one = early.coalesce(1)
+    load = lambda: sources.load_deliveries(
+        spark, f"{folder}/*", layers.bronze, layers.ledger)
+    write_csv(one, f"{folder}/entrega-1")
+    load(), load()
+    write_csv(one, f"{folder}/entrega-copia")
+    write_csv(late, f"{folder}/entrega-2")
+    load()
+    replace_content(spark, f"{folder}/entrega-2", f"{folder}/entrega-1")
+    load()
+    events = sources.read_ledger(spark, layers.ledger).where("situacao <> 'recebido'")
+    known = events.groupBy(of_delivery("arquivo").alias("entrega")).agg(
+        F.array_join(F.sort_array(F.collect_set("situacao")), ",").alias("situacoes"))
+    return (sources.scan(spark, layers.bronze)
+            .select(*TRANSACTION_COLUMNS, of_delivery(SOURCE_FILE).alias("entrega"))
+            .join(known, "entrega", "left"))
+
+
+def replace_content(spark: SparkSession, source: str, target: str) -> None:
+    """One file of ``target`` gets the lines of one of ``source``, and one more."""
+    lines = spark.read.text(source).limit(10).coalesce(1)
+    spark_path = spark._jvm.org.apache.hadoop.fs.Path
+    store = spark_path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    written = sources.new_path(spark, "other-content")
+    lines.write.text(written)
+    new, old = (sorted(str(f.getPath()) for f in store.globStatus(spark_path(p, "part-*")))
+                for p in (written, target))
+    util = spark._jvm.org.apache.hadoop.fs.FileUtil
+    util.copy(store, spark_path(new[0]), store, spark_path(old[0]), False, True,
+              spark._jsc.hadoopConfiguration())
+
+
 def look_older(spark: SparkSession, folder: str, days: int) -> None:
     """Files with a time ``days`` ago, as copies that kept their first time."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
@@ -305,6 +382,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ingest_history": ingest_history,
         "ingest_broken_lines": ingest_broken_lines,
         "ingest_arrivals": ingest_arrivals,
+        "ingest_quarantine": ingest_quarantine,
+        "ingest_ledger": ingest_ledger,
         "medallion_refresh": medallion_refresh,
     }
 

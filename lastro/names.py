@@ -43,6 +43,7 @@ GOLD_SCHEMA = "camada_ouro"
 BRONZE_TABLE = "br_transacoes_bancarias"
 SILVER_TABLE = "pr_transacoes_bancarias"
 CORRUPT_TABLE = "registros_corrompidos"
+LEDGER_TABLE = "entregas"
 CLIENT_TABLE = "v_finan_cli"
 BANK_TABLE = "v_gral_banco"
 RISK_TABLE = "monit_risco"
@@ -97,6 +98,10 @@ class Layers:
     def bronze(self) -> str:
         return self.table(self.bronze_schema, BRONZE_TABLE)
 
+    @property
+    def ledger(self) -> str:
+        return self.table(self.bronze_schema, LEDGER_TABLE)
+
     @property
     def silver(self) -> str:
         return self.table(self.silver_schema, SILVER_TABLE)

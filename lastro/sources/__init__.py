@@ -1,4 +1,5 @@
 from lastro.sources.deliveries import append_history, read_csv
+from lastro.sources.ledger import load_deliveries, read_ledger
 from lastro.sources.scratch import Scratch, new_path, shared_folder, stage
 from lastro.sources.tables import ensure_schema, scan, write_table
 
@@ -6,8 +7,10 @@ __all__ = [
     "Scratch",
     "append_history",
     "ensure_schema",
+    "load_deliveries",
     "new_path",
     "read_csv",
+    "read_ledger",
     "scan",
     "shared_folder",
     "stage",

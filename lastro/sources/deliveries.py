@@ -57,21 +57,26 @@ def with_origin(df: DataFrame) -> DataFrame:
         F.current_timestamp().alias(INGESTED_AT))
 
 
+def refuse_stream_table(spark: SparkSession, table: str) -> None:
+    """Stop before rows are appended that a stream's log would hide."""
+    facts = table_facts(spark, table)
+    if (facts and is_file_format(facts.get("provider", ""))
+            and has_stream_log(spark, facts["location"])):
+        raise ValueError(f"{table} is written by ingest_arrivals; rows appended to "
+                         "it would not be seen")
+
+
 def append_history(spark: SparkSession, paths: str | Sequence[str], table: str,
                    schema: str = DELIVERY_SCHEMA, fmt: str | None = None,
                    **options: str) -> None:
     """Add delivered files to the bronze history; earlier rows stay as they are.
 
     Every call loads every file it is given. To load only files not yet
-    loaded, use ``lastro.streaming.ingest_arrivals``. A file-based table that
+    loaded, use ``load_deliveries`` or ``lastro.streaming.ingest_arrivals``. A file-based table that
     was written by it is refused before anything is written: its readers see
     only the files in the stream's log, and would never see these rows.
     """
-    facts = table_facts(spark, table)
-    if (facts and is_file_format(facts.get("provider", ""))
-            and has_stream_log(spark, facts["location"])):
-        raise ValueError(f"{table} is written by ingest_arrivals; rows appended to "
-                         "it would not be seen")
+    refuse_stream_table(spark, table)
     paths = paths if isinstance(paths, str) else list(paths)
     raw = traceable(spark.read, schema, **options).csv(paths)
     write_table(with_origin(raw), table, mode="append", fmt=fmt)

@@ -33,6 +33,9 @@ def ingest_arrivals(spark: SparkSession, folder: str, table: str,
 
     A file counts as loaded by its path. One that is delivered again under the
     same path, with other content, is not read again: deliveries need new names.
+    A file whose header is another one stops the stream until it is gone; where
+    such files come, ``lastro.sources.load_deliveries`` puts them aside, and
+    loads all others.
 
     The driver keeps one entry, of about 200 bytes, for each file younger than
     ``max_age``, measured against the youngest loaded. By default that is every

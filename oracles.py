@@ -240,4 +240,16 @@ FROM bronze"""),
     "ingest_arrivals": over_bronze(
         f"SELECT {TEXT}, CASE WHEN primeira_entrega THEN 1 ELSE 2 END AS carga "
         "FROM bronze"),
+    "ingest_quarantine": over_bronze("""
+SELECT CASE WHEN primeira_entrega THEN 'entrega-1' ELSE 'entrega-2' END AS entrega,
+       'carregado' AS situacao, count(*) AS linhas, count(*) AS carregadas,
+       FALSE AS com_motivo
+FROM bronze GROUP BY ALL
+UNION ALL
+SELECT 'entrega-trocada', 'quarentena', count(*), 0, TRUE
+FROM bronze WHERE primeira_entrega"""),
+    "ingest_ledger": over_bronze(
+        f"SELECT {TEXT}, CASE WHEN primeira_entrega THEN 'entrega-1' "
+        "ELSE 'entrega-2' END AS entrega, CASE WHEN primeira_entrega "
+        "THEN 'alterado,carregado' ELSE 'carregado' END AS situacoes FROM bronze"),
 }
