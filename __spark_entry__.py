@@ -36,6 +36,7 @@ from lastro.names import (  # noqa: E402
 )
 from lastro.plans.silver import negative_age, parsed_values, validity_rules  # noqa: E402
 from lastro.sources.sample import bronze_sample, transactions_from_orders  # noqa: E402
+from lastro.sources.scratch import remove  # noqa: E402
 from oracles import ORACLES  # noqa: E402
 
 try:
@@ -287,6 +288,37 @@ def medallion_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.scan(spark, layers.risk_monitor)
 
 
+def medallion_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The risk monitor after two refreshes whose tables switched together, and
+    how many rows of broken lines each left beside silver."""
+    layers = private_layers(spark, "medallion_versions", sf_dir)
+    sources.write_table(bronze_sample(spark, sf_dir), layers.bronze)
+    for apart in (True, False):
+        plans.refresh_together(spark, layers, corrupt_apart=apart, keep=1)
+    apart = spark.table(layers.corrupt).agg(F.count("*")).scalar()
+    return sources.scan(spark, layers.risk_monitor).withColumn("corrompidas_a_parte", apart)
+
+
+def gold_by_delivery(product: Callable[[plans.States], DataFrame]):
+    """A data product from states of two loads, each folded when it came."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = f"gold_by_delivery_{product.__name__}"
+        layers = private_layers(spark, key, sf_dir)
+        taken = layers.table(layers.gold_schema, "estado_cargas")
+        for table in (layers.bronze, layers.ledger, taken):
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        folder, states = sources.new_path(spark, "folded"), plans.States(spark, layers)
+        remove(spark, states.home)
+        for number, delivery in enumerate(deliveries(spark, sf_dir), start=1):
+            write_csv(delivery, f"{folder}/entrega-{number}")
+            sources.load_deliveries(spark, f"{folder}/*", layers.bronze, layers.ledger)
+            plans.fold_loads(states, money_type="decimal(18,2)")
+        found = product(states)
+        return found.select(*[F.col(c).cast("string").alias(c) if t.startswith("decimal")
+                              else F.col(c) for c, t in found.dtypes])
+    return run
+
+
 def on_bronze(query: Callable[[DataFrame], DataFrame]):
     return lambda spark, sf_dir: query(bronze_sample(spark, sf_dir))
 
@@ -385,6 +417,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ingest_quarantine": ingest_quarantine,
         "ingest_ledger": ingest_ledger,
         "medallion_refresh": medallion_refresh,
+        "medallion_versions": medallion_versions,
+        "gold_by_delivery_clients": gold_by_delivery(plans.States.client_financial_view),
+        "gold_by_delivery_bank": gold_by_delivery(plans.States.bank_indicators),
+        "gold_by_delivery_risk": gold_by_delivery(plans.States.risk_monitor),
     }
 
 

@@ -28,6 +28,12 @@ def table_facts(spark: SparkSession, table: str) -> dict[str, str]:
     return {r[0].lower(): r[1] for r in rows if r[0] in ("Provider", "Location")}
 
 
+def drop_table(spark: SparkSession, table: str) -> None:
+    """Drop a table, if there is one of this name; views stay."""
+    if table_facts(spark, table).get("provider"):
+        spark.sql(f"DROP TABLE {table}")
+
+
 def _exists(spark: SparkSession, path: str, pattern: str = "") -> bool:
     """Whether a folder, or something in it that fits ``pattern``, exists."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -121,6 +121,13 @@ FROM silver GROUP BY nome_cliente"""
 
 RISK = risk()
 
+# the exact mean, rounded half up at six places, of amounts that are not negative
+UNITS = ("(2 * sum(CAST(valor_transacao * 100 AS HUGEINT)) * 10000 + count(valor_transacao)) "
+         "// (2 * count(valor_transacao))")
+EXACT_MEAN = (f"CAST({UNITS} // 1000000 AS VARCHAR) || '.' || "
+              f"lpad(CAST({UNITS} % 1000000 AS VARCHAR), 6, '0')")
+EXACT_SUM = "CAST(CAST(sum(valor_transacao) AS DECIMAL(28,2)) AS VARCHAR)"
+
 REJECTS = {
     "valor_transacao": lost("valor_transacao", AMOUNT),
     "saldo_apos_transacao": lost("saldo_apos_transacao", BALANCE),
@@ -252,4 +259,15 @@ FROM bronze WHERE primeira_entrega"""),
         f"SELECT {TEXT}, CASE WHEN primeira_entrega THEN 'entrega-1' "
         "ELSE 'entrega-2' END AS entrega, CASE WHEN primeira_entrega "
         "THEN 'alterado,carregado' ELSE 'carregado' END AS situacoes FROM bronze"),
+    "medallion_versions": over_silver(
+        f"SELECT *, CAST(0 AS BIGINT) AS corrompidas_a_parte FROM ({RISK})"),
+    "gold_by_delivery_clients": over_silver(f"""
+SELECT nome_cliente, count(*) AS qtd_transacoes, {EXACT_SUM} AS total_movimentado,
+       {EXACT_MEAN} AS ticket_medio, max(data_transacao) AS ultima_transacao
+FROM silver GROUP BY nome_cliente""", AMOUNT_DECIMAL),
+    "gold_by_delivery_bank": over_silver(BANK.format(
+        clients="nome_cliente", volume=EXACT_SUM, mean=EXACT_MEAN), AMOUNT_DECIMAL),
+    "gold_by_delivery_risk": over_silver(
+        risk(f"(SELECT CAST({EXACT_MEAN} AS DECIMAL(22,6)) * 2 FROM silver)"),
+        AMOUNT_DECIMAL),
 }
