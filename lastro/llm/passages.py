@@ -32,6 +32,7 @@ _PARAGRAPHS = re.compile(rb"\n(?:[ \t\r]*\n)+")
 #: Sentences and pieces of fewer words are no units of their own beside lines.
 LEAST_SENTENCE = 6
 _PIECE = "id long, unit int, start int, end int, words int, digest binary"
+_UNIT = "id long, unit int, start int, end int, words int, kind int, digest binary"
 #: A kind is the first of these that has the unit's extent.
 KINDS = ("line", "paragraph", "sentence", "passage")
 #: A run of so many words that occurred before is a passage, wherever it lies.
@@ -44,6 +45,8 @@ _NO_BLANKS = rb"[\xe3-\xe9][\x80-\xbf]{2}|\xe0[\xb8-\xbb][\x80-\xbf]"
 _DENSE = re.compile(_NO_BLANKS)
 _TOKEN = re.compile(_NO_BLANKS + rb"|(?:(?![\xe3-\xe9]|\xe0[\xb8-\xbb])[^\t-\r ])+")
 _BASES = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4D
+#: Bytes of a text whose words are hashed at once.
+CODED = 1 << 20
 #: A digest with more than this share of all units gets its rows salted.
 _HOT_SHARE, _SALTS = 1 / 2000, 64
 
@@ -115,66 +118,208 @@ def _places(text: bytes):
     return lambda at: int(points[at - 1]) if at else 0
 
 
-def _whole(text: bytes, start: int, end: int) -> tuple[int, int]:
-    """The extent without blanks around it."""
-    part = text[start:end]
-    return end - len(part.lstrip()), start + len(part.rstrip())
+_IS_BLANK = np.zeros(256, bool)
+_IS_BLANK[[*b"\t\n\v\f\r "]] = True
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _powers(base: int, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers, from 0 on, of an odd base and of its inverse, modulo 2 to the 64th."""
+    known = _POWERS.get(base)
+    if known is None or len(known[0]) < count:
+        known = []
+        for b in (base, pow(base, -1, 2**64)):
+            power = np.full(max(count, 1 << 16), b, np.uint64)
+            power[0] = 1
+            known.append(np.cumprod(power))
+        _POWERS[base] = known = tuple(known)
+    return known
+
+
+def _word_places(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a text start and end, in bytes."""
+    inside = np.zeros(len(text) + 2, bool)
+    np.logical_not(_IS_BLANK[np.frombuffer(text, np.uint8)], out=inside[1:-1])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    return edges[::2], edges[1::2]
+
+
+def _word_codes(low: bytes, start: np.ndarray, end: np.ndarray, base: int) -> np.ndarray:
+    """64-bit hashes of the words of a lower-cased text: of their bytes as a
+    polynomial, and their lengths. Long texts are worked through in parts."""
+    codes = np.empty(len(start), np.uint64)
+    at = 0
+    while at < len(start):
+        to = max(at + 1, int(np.searchsorted(end, start[at] + CODED, "right")))
+        first = int(start[at])
+        octets = np.frombuffer(low, np.uint8, int(end[to - 1]) - first, first)
+        power, back = _powers(base, len(octets) + 1)
+        sums = np.zeros(len(octets) + 1, np.uint64)
+        np.cumsum(octets * power[:len(octets)], out=sums[1:])
+        s, e = start[at:to] - first, end[at:to] - first
+        codes[at:to] = _mixed((sums[e] - sums[s]) * back[s] + e.astype(np.uint64)
+                              - s.astype(np.uint64))
+        at = to
+    return codes
+
+
+class _Anchors(dict):
+    """Whether a word of a long unit may begin a piece."""
+
+    def __missing__(self, word: bytes) -> bool:
+        if len(self) > 200_000:
+            self.clear()
+        self[word] = marked = crc32(word) % ANCHOR == 0
+        return marked
 
 
-def _extents(text: bytes) -> dict[tuple[int, int], tuple[int, list[bytes]]]:
-    """(start, end) -> (kind, words) of every line, paragraph, sentence and piece.
+class _Text:
+    """A text's words, and its lines, paragraphs, sentences and pieces by them.
 
     All lines and paragraphs with a word are units, however short or long, and
     as they are; sentences, and the pieces of long ones, from
-    ``LEAST_SENTENCE`` words. Units of one extent are one.
+    ``LEAST_SENTENCE`` words. Units of one extent are one, of the first kind.
     """
-    found: dict[tuple[int, int], tuple[int, list[bytes]]] = {}
-    ends = [0, *(x for m in _PARAGRAPHS.finditer(text) for x in m.span()), len(text)]
-    for kind, spans in enumerate((
-            (m.span() for m in UNITS["line"].finditer(text)),
-            zip(ends[::2], ends[1::2]))):
-        for span in spans:
-            place = _whole(text, *span)
-            if place[0] < place[1] and place not in found:
-                found[place] = kind, normal_words(text[slice(*place)])
-    for m in UNITS["sentence"].finditer(text):
-        for start, end, words in _pieces(text, *m.span(), LEAST_SENTENCE):
-            if len(words) >= LEAST_SENTENCE:
-                found.setdefault((start, end), (2, words))
-    return found
+
+    def __init__(self, text: bytes):
+        self.text, self.low = text, text.lower()
+        self.starts, self.ends = _word_places(text)
+
+    def _inside(self, spans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The first word in each span, and the first one beyond."""
+        return (np.searchsorted(self.starts, spans[:, 0]),
+                np.searchsorted(self.ends, spans[:, 1], "right"))
+
+    def units(self, anchors: _Anchors) -> tuple[np.ndarray, ...]:
+        """(start, end, words, digest, kind) in order of start and end, in bytes."""
+        text = self.text
+        octets = np.frombuffer(text, np.uint8)
+        breaks = np.flatnonzero((octets == 10) | (octets == 13))
+        lines = np.stack([np.concatenate([[0], breaks + 1]),
+                          np.concatenate([breaks, [len(text)]])], 1)
+        ends = [0, *(x for m in _PARAGRAPHS.finditer(text) for x in m.span()), len(text)]
+        paragraphs = np.array(ends).reshape(-1, 2)
+        sentences = np.array([m.span() for m in UNITS["sentence"].finditer(text)],
+                             np.int64).reshape(-1, 2)
+        first, last, kind = [], [], []
+        for number, spans in enumerate((lines, paragraphs)):
+            f, e = self._inside(spans)
+            first.append(f[f < e])
+            last.append(e[f < e])
+            kind.append(np.full(len(first[-1]), number))
+        f, e = self._inside(sentences)
+        # a sentence may end, or begin, within what blanks part
+        count = len(self.starts)
+        cut = np.zeros(len(f), bool)
+        cut[f > 0] |= self.ends[f[f > 0] - 1] > sentences[f > 0, 0]
+        cut[e < count] |= self.starts[e[e < count]] < sentences[e < count, 1]
+        whole = ~cut & (e - f >= LEAST_SENTENCE)
+        long = whole & (e - f > LONG_UNIT)
+        first.append(f[whole & ~long])
+        last.append(e[whole & ~long])
+        kind.append(np.full(len(first[-1]), 2))
+        for a, b in zip(f[long].tolist(), e[long].tolist()):
+            cuts = self._cuts(a, b, anchors)
+            cuts = np.array([(x, y) for x, y in zip(cuts, [*cuts[1:], b])
+                             if y - x >= LEAST_SENTENCE])
+            first.append(cuts[:, 0])
+            last.append(cuts[:, 1])
+            kind.append(np.full(len(cuts), 2))
+        first, last, kind = map(np.concatenate, (first, last, kind))
+        codes = [_word_codes(self.low, self.starts, self.ends, base) for base in _BASES]
+        found = (self.starts[first], self.ends[last - 1], last - first,
+                 _unit_digests(codes, first, last), kind)
+        if cut.any():
+            own = [self._alone(*span) for span in sentences[cut].tolist()]
+            found = tuple(np.concatenate([x, *(o[k] for o in own)])
+                          for k, x in enumerate(found))
+        order = np.lexsort((found[4], found[1], found[0]))
+        found = tuple(x[order] for x in found)
+        new = np.ones(len(order), bool)
+        new[1:] = (np.diff(found[0]) != 0) | (np.diff(found[1]) != 0)
+        return tuple(x[new] for x in found)
+
+    def _cuts(self, first: int, last: int, anchors: _Anchors) -> list[int]:
+        """The words at which the pieces of a long unit begin."""
+        words = self.low[self.starts[first]:self.ends[last - 1]].split()
+        cuts = [0]
+        for k in np.flatnonzero(np.fromiter(map(anchors.__getitem__, words), bool,
+                                            len(words))).tolist():
+            if k - cuts[-1] >= LEAST_SENTENCE and len(words) - k >= LEAST_SENTENCE:
+                cuts.append(k)
+        return [first + k for k in cuts]
+
+    def _alone(self, start: int, end: int) -> tuple[np.ndarray, ...]:
+        """The units of a sentence that shares a word with its neighbour."""
+        own = _Text(self.text[start:end])
+        pieces = [(s - start, e - start) for s, e, words in
+                  _pieces(self.text, start, end, LEAST_SENTENCE)
+                  if len(words) >= LEAST_SENTENCE]
+        first, last = own._inside(np.array(pieces, np.int64).reshape(-1, 2))
+        codes = [_word_codes(own.low, own.starts, own.ends, base) for base in _BASES]
+        return (own.starts[first] + start, own.ends[last - 1] + start, last - first,
+                _unit_digests(codes, first, last), np.full(len(first), 2))
+
+
+def _unit_digests(codes: list[np.ndarray], first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """128 bits of the words from ``first`` up to ``last``, of two hashes a word."""
+    return np.stack([_hashes(own, base, first, last)
+                     for own, base in zip(codes, _BASES)], 1)
 
 
 def _all_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    anchors, names = _Anchors(), ["id", "unit", "start", "end", "words", "kind", "digest"]
     for batch in batches:
-        rows: list[tuple] = []
+        parts, size = [], 0
         for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             text = text.as_py()
-            point = _places(text)
-            for number, ((start, end), (kind, words)) in enumerate(
-                    sorted(_extents(text).items(), key=lambda x: x[0])):
-                digest = blake2b(b" ".join(words), digest_size=16).digest()
-                rows.append((key, number, point(start), point(end), len(words),
-                             digest, kind))
-            if len(rows) > 20_000:
-                yield _batch(rows)
-                rows = []
-        yield _batch(rows)
+            start, end, words, digest, kind = _Text(text).units(anchors)
+            if not text.isascii():
+                points = np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80)
+                start, end = np.where(start > 0, points[start - 1], 0), points[end - 1]
+            parts.append((np.full(len(start), key), *(x.astype(np.int32) for x in (
+                np.arange(len(start)), start, end, words, kind)), digest))
+            size += len(start)
+            if size > 50_000:
+                yield from _table(parts, names)
+                parts, size = [], 0
+        yield from _table(parts, names)
 
 
 class _Codes(dict):
-    """Words to 64-bit hashes, of which some are remembered."""
+    """Words to 64-bit hashes, of which those of dense scripts are remembered."""
+
+    def of(self, text: bytes) -> np.ndarray:
+        if not _DENSE.search(text):
+            return _word_codes(text.lower(), *_word_places(text), _BASES[0])
+        found = _TOKEN.findall(text.lower())
+        return np.fromiter(map(self.__getitem__, found), np.uint64, len(found))
 
     def __missing__(self, word: bytes) -> int:
         if len(self) > 200_000:
             self.clear()
-        code = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
-        self[word] = code
+        self[word] = code = int(_word_codes(word, np.array([0]), np.array([len(word)]),
+                                            _BASES[0])[0])
         return code
 
-    def of(self, text: bytes) -> np.ndarray:
-        text = text.lower()
-        found = _TOKEN.findall(text) if _DENSE.search(text) else text.split()
-        return np.fromiter(map(self.__getitem__, found), np.uint64, len(found))
+
+def _least_places(marks: np.ndarray, width: int) -> np.ndarray:
+    """Where the least of each ``width`` marks is, the first of equal ones.
+
+    Marks keep 40 bits and carry their places in the other 24; windows are
+    joined from two of half their width, again and again.
+    """
+    if len(marks) > 1 << 24:
+        return (sliding_window_view(marks, width).argmin(axis=1)
+                + np.arange(len(marks) - width + 1))
+    low = np.uint64((1 << 24) - 1)
+    least = (marks & ~low) | np.arange(len(marks), dtype=np.uint64)
+    done = 1
+    while done < width:
+        step = min(done, width - done)
+        least = np.minimum(least[:-step], least[step:])
+        done += step
+    return (least & low).astype(np.int64)
 
 
 def _mixed(codes: np.ndarray) -> np.ndarray:
@@ -185,12 +330,10 @@ def _mixed(codes: np.ndarray) -> np.ndarray:
 def _hashes(codes: np.ndarray, base: int, first: np.ndarray, last: np.ndarray,
             ) -> np.ndarray:
     """A polynomial, modulo 2 to the 64th, of codes ``first`` up to ``last``."""
-    power = np.full(len(codes), base, np.uint64)
-    back = np.full(len(codes), pow(base, -1, 2**64), np.uint64)
-    power[0] = back[0] = 1
-    sums = np.concatenate([np.zeros(1, np.uint64),
-                           np.cumsum(codes * np.cumprod(power))])
-    return (sums[last] - sums[first]) * np.cumprod(back)[first]
+    power, back = _powers(base, len(codes) + 1)
+    sums = np.zeros(len(codes) + 1, np.uint64)
+    np.cumsum(codes * power[:len(codes)], out=sums[1:])
+    return (sums[last] - sums[first]) * back[first]
 
 
 def _digests(codes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -225,9 +368,10 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 continue
             start = np.arange(len(codes) - PRINT + 1)
             marks = _mixed(_hashes(codes, _BASES[0], start, start + PRINT))
-            least = sliding_window_view(marks, PASSAGE - PRINT + 1).argmin(axis=1)
-            at, first, count = np.unique(least + np.arange(len(least)),
-                                         return_index=True, return_counts=True)
+            least = _least_places(marks, PASSAGE - PRINT + 1)
+            # the least one's place never goes back
+            first = np.flatnonzero(np.diff(least, prepend=-1))
+            at, count = least[first], np.diff(first, append=len(least))
             parts.append((np.full(len(at), key), np.full(len(at), twin),
                           first.astype(np.int32), count.astype(np.int32),
                           marks[at].view(np.int64),
@@ -409,7 +553,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id",
     """
     scratch = Scratch(docs.sparkSession)
     texts = _texts(docs, id_col, text_col)
-    units = texts.mapInArrow(_all_units, f"{_PIECE}, kind int")
+    units = texts.mapInArrow(_all_units, _UNIT)
     kind = F.element_at(F.array(*map(F.lit, KINDS)), F.col("kind") + 1)
     found = _later(units, scratch, "digests").unionByName(_long_passages(texts, scratch))
     return found.select(

@@ -1,6 +1,7 @@
 import re
 import zlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from lastro.llm import queries
@@ -48,8 +49,77 @@ def test_equals_brute_force(spark):
     rows = [(r[0], r[1]) for r in table.select("doc_id", "text").collect()]
     assert listed(repeated_units(table)) == brute(rows, SENTENCE, 6)
     assert listed(repeated_units(table, "line", 3)) == brute(rows, r"[^\r\n]+", 3)
-    query = queries.op2_passages(spark, SF)
-    assert query.count() == len(brute(rows, SENTENCE, 6)) > 100
+
+
+PARAGRAPH = r"(?:[^\n]|\n(?![ \t\r]*\n))+"
+
+
+def brute_units(rows):
+    """Lines, paragraphs, sentences and their pieces by one rule over text:
+    (id, start, end, words, first id, kind) of all that occurred before."""
+    seen, out = {}, []
+    for key, text in sorted((r for r in rows if r[0] is not None and r[1]),
+                            key=lambda r: r[0]):
+        found = {}
+        for kind, pattern in (("line", r"[^\r\n]+"), ("paragraph", PARAGRAPH),
+                              ("sentence", SENTENCE)):
+            for m in re.finditer(pattern, text):
+                spans = [x.span() for x in re.finditer(r"[^\t-\r ]+", m[0])]
+                w = [m[0][a:b].translate(FOLD) for a, b in spans]
+                cuts = [0]
+                for k in range(len(w) * (kind == "sentence")):
+                    if (len(w) > 40 and k - cuts[-1] >= 6 and len(w) - k >= 6
+                            and zlib.crc32(w[k].encode()) % 12 == 0):
+                        cuts.append(k)
+                for a, b in zip(cuts, [*cuts[1:], len(w)]):
+                    if b - a >= (6 if kind == "sentence" else 1):
+                        found.setdefault((m.start() + spans[a][0], m.start() + spans[b - 1][1]),
+                                         (kind, tuple(w[a:b])))
+        for (start, end), (kind, unit) in sorted(found.items()):
+            if unit in seen:
+                out.append((key, start, end, len(unit), seen[unit], kind))
+            else:
+                seen[unit] = key
+    return sorted(out)
+
+
+def brute_windows(rows):
+    """Places of the words that lie in 50 words which occurred before, and the
+    ids of the texts that have each 50 words."""
+    owners, covered = {}, set()
+    for key, text in sorted((r for r in rows if r[0] is not None and r[1]),
+                            key=lambda r: r[0]):
+        found = list(re.finditer(r"[^\t-\r ]+", text))
+        low = [m[0].translate(FOLD) for m in found]
+        for k in range(len(low) - 49):
+            before = owners.setdefault(tuple(low[k:k + 50]), [])
+            if before:
+                covered |= {(key, m.start()) for m in found[k:k + 50]}
+            before.append(key)
+    return covered, owners
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_the_query_equals_brute_force_of_all_kinds(spark, sf):
+    folder = f"/root/testdata/{sf}"
+    rows = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet")
+            .select("doc_id", "text").collect()]
+    found = queries.op2_passages(spark, folder).collect()
+    units = sorted((r.doc_id, r.start, r.end, r.words, r.first_doc_id, r.kind)
+                   for r in found if r.kind != "passage")
+    assert units == brute_units(rows)
+    assert {k for *_, k in units} == {"line", "paragraph", "sentence"}
+    texts, (covered, owners) = dict(rows), brute_windows(rows)
+    listed = set()
+    for r in (r for r in found if r.kind == "passage"):
+        words = list(re.finditer(r"[^\t-\r ]+", texts[r.doc_id][r.start:r.end]))
+        low = [m[0].translate(FOLD) for m in words]
+        assert len(low) == r.words >= 50
+        # each 50 words of a passage are also in the text it names, or before in its own
+        assert all(r.first_doc_id in owners[tuple(low[k:k + 50])]
+                   for k in range(len(low) - 49))
+        listed |= {(r.doc_id, r.start + m.start()) for m in words}
+    assert listed == covered and covered
 
 
 def test_a_passage_inside_other_text_is_found(spark):
