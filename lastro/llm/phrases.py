@@ -21,6 +21,10 @@ _END = b"\xff"
 _TABLE = bytes(0xFF if b in _ENDS else 0x20 if b in _BLANKS else b for b in range(256))
 #: Words that a task works through at once, words it knows, grams it holds.
 CHUNK, KNOWN, HELD = 500_000, 1_000_000, 4_000_000
+#: Counted phrases that a task holds before it sends them on.
+PHRASES = 400_000
+#: Bytes of a table of all languages that may be broadcast.
+LANGUAGES = 8 << 20
 #: Grams of one shuffled row.
 ROW = 16_384
 #: Ranked apart before all are, so that no task gets the phrases of a language.
@@ -344,27 +348,55 @@ def _filter(survivors: list[DataFrame], partitions: int, most_bytes: int) -> _Fi
     return _Filter(partitions, segments)
 
 
+def _key(group: str, words: int, phrase: bytes) -> bytes:
+    group = group.encode()
+    return len(group).to_bytes(4, "little") + group + bytes([words]) + phrase
+
+
+def _of_key(key: bytes) -> tuple[str, int, bytes]:
+    end = 4 + int.from_bytes(key[:4], "little")
+    return key[4:end].decode(), key[end], key[end + 1:]
+
+
 def _counted(known, longest: int):
-    """(lang, words, phrase, count): a task's counts of the phrases of the grams
-    in the filter ``known``, and of all words as a phrase of none."""
+    """(part, keys, counts): a task's counts of the phrases of the grams in the
+    filter ``known``, and of all words as a phrase of none, many to a row."""
     def phrases(chunk, grams: _Grams) -> Iterator[tuple]:
         group, words, numbers, _ = chunk
-        known_words, at = words.words, grams.at[known.value.has(grams.hashes)]
+        passing = known.value.has(grams.hashes)
+        known_words, at = words.words, grams.at[passing]
+        part = _placed(grams.hashes[passing], known.value.shift)[0]
         same = numbers[at]  # equal for equal phrases, whatever their hashes
         for k in range(1, grams.level):
             same = np.unique(same * len(known_words) + numbers[at + k],
                              return_inverse=True)[1]
         _, first, count = np.unique(same, return_index=True, return_counts=True)
-        for where, times in zip(at[first].tolist(), count.tolist()):
-            yield (group, grams.level, b" ".join(
-                [known_words[n] for n in numbers[where:where + grams.level].tolist()]), times)
+        for own, where, times in zip(part[first].tolist(), at[first].tolist(), count.tolist()):
+            yield own, _key(group, grams.level, b" ".join(
+                [known_words[n] for n in numbers[where:where + grams.level].tolist()])), times
+
+    def rows(tally: dict[int, dict[bytes, int]]) -> pa.RecordBatch:
+        parts, keys, counts = [], [], []
+        for part, found in tally.items():
+            own, times = list(found), list(found.values())
+            for k in range(0, len(own), ROW):
+                parts.append(part)
+                keys.append(own[k:k + ROW])
+                counts.append(times[k:k + ROW])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(parts, pa.int32()), pa.array(keys, pa.list_(pa.binary())),
+             pa.array(counts, pa.list_(pa.int64()))], ["part", "keys", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally: dict[int, dict[bytes, int]] = {}
         for chunk in _chunks(batches):
             grams, followed = _Grams(*chunk), None
-            rows = [(chunk[0], 0, b"", len(grams.at))]
+            found = [(0, _key(chunk[0], 0, b""), len(grams.at))]
             while True:
-                rows += phrases(chunk, grams)
+                for part, key, times in (*found, *phrases(chunk, grams)):
+                    own = tally.setdefault(part, {})
+                    own[key] = own.get(key, 0) + times
+                found = []
                 if grams.level == longest:
                     break
                 if grams.level == 2:
@@ -372,10 +404,36 @@ def _counted(known, longest: int):
                     followed[grams.at[known.value.has(grams.hashes)]] = True
                 grams.longer(followed[grams.at] & followed[grams.at + grams.level - 1]
                              if followed is not None else None)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows), (
-                    pa.string(), pa.int32(), pa.binary(), pa.int64()))],
-                ["lang", "words", "phrase", "count"])
+            if sum(map(len, tally.values())) > PHRASES:
+                yield rows(tally)
+                tally = {}
+        yield rows(tally)
+    return run
+
+
+def _frequent(least: int):
+    """(lang, words, phrase, f) of phrases counted ``least`` times in all, and of
+    none, from rows sorted by partition."""
+    def done(found: dict[bytes, int]) -> pa.RecordBatch:
+        rows = [(*_of_key(k), f) for k, f in found.items()]
+        rows = [r for r in rows if r[1] == 0 or r[3] >= least]
+        columns = [*zip(*rows)] or [()] * 4
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(columns, (
+                pa.string(), pa.int32(), pa.binary(), pa.int64()))],
+            ["lang", "words", "phrase", "f"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, found = None, {}
+        for batch in batches:
+            for number, keys, counts in zip(batch.column(0).to_pylist(), batch.column(1),
+                                            batch.column(2)):
+                if number != part:
+                    yield done(found)
+                    part, found = number, {}
+                for key, count in zip(keys.as_py(), counts.as_py()):
+                    found[key] = found.get(key, 0) + count
+        yield done(found)
     return run
 
 
@@ -388,9 +446,9 @@ def phrase_counts(docs: DataFrame, scratch: Scratch, settings: Settings = Settin
     Three passes read the texts. The first summarises words and pairs of words,
     the second longer grams all of whose pairs survived, by hash partition: a
     task counts its own grams, and what it counted is merged into the summary
-    of each partition. The third counts the survivors exactly, as text; what is
-    no survivor but passes the broadcast filter is counted too, and left out by
-    its exact count.
+    of each partition. The third counts the survivors exactly, as text, and
+    adds up by the same partitions; what is no survivor but passes the broadcast
+    filter is counted too, and left out by its exact count.
     """
     spark = docs.sparkSession
     least = max(1, settings.least)
@@ -415,9 +473,9 @@ def phrase_counts(docs: DataFrame, scratch: Scratch, settings: Settings = Settin
         found.append(survivors(range(3, settings.longest + 1), pairs, "survivors"))
     known = spark.sparkContext.broadcast(_filter(found, 1 << shift, settings.filter_bytes))
     counted = texts.mapInArrow(_counted(known, settings.longest),
-                               "lang string, words int, phrase binary, count long")
-    exact = (counted.groupBy("lang", "words", "phrase").agg(F.sum("count").alias("f"))
-             .where((F.col("words") == 0) | (F.col("f") >= least))
+                               "part int, keys array<binary>, counts array<long>")
+    exact = (counted.repartition("part").sortWithinPartitions("part")
+             .mapInArrow(_frequent(least), "lang string, words int, phrase binary, f long")
              .withColumn("phrase", F.col("phrase").cast("string")))
     exact = scratch.stage(exact, "counts")
     scratch.release("survivors-2", "survivors")
@@ -468,6 +526,9 @@ def collocations(docs: DataFrame, settings: Settings = Settings(), lang_col: str
             spread_join(cuts, known.withColumnRenamed("f", "l"), "key")
             .drop("key").withColumnRenamed("rest", "key"), "halves")
         all_words = counts.where("words = 0").select("lang", F.col("f").alias("n"))
+        size = all_words.agg(F.sum(F.octet_length("lang") + 16)).first()[0] or 0
+        if size <= LANGUAGES:  # one row a language, and few have all phrases
+            all_words = F.broadcast(all_words)
         scored = (spread_join(halves, known.withColumnRenamed("f", "r"), "key")
                   .join(all_words, "lang")
                   .withColumn("score", score("a", "n", "l", "r"))
