@@ -50,12 +50,13 @@ SHARD_BYTES, SHARD_ROWS = 16 << 20, 1_000_000
 PART_KEYS = 50_000
 #: Chunks whose ids a worker remembers, a fifth of a kilobyte each, and their
 #: greatest length.
-CHUNKS_KEPT, LONG_CHUNK = 1_000_000, 64
-#: Characters of the texts that are encoded together.
-GROUP = 2_000_000
+CHUNKS_KEPT, LONG_CHUNK = 1_200_000, 64
+#: Characters of texts, and unknown words, that are encoded together.
+GROUP, TOGETHER = 2_000_000, 1000
 _ENDS = ".,;:!?"
 #: Blanks besides the space and the line feed.
 _RARE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
+_RARE_ASCII = [c for c in _RARE if c.isascii()]
 #: Blanks beside blanks, but for two line ends between other characters: there
 #: a text is not cut into chunks.
 _TOGETHER = re.compile(r"\s(?:(?<!\n)\s|[^\S\n]|\n\n|\n\Z)")
@@ -87,7 +88,11 @@ class Encoder:
             and not any(t["lstrip"] or t["rstrip"] or t["single_word"]
                         or re.search(r"\s", t["content"]) for t in spec["added_tokens"]))
         self.special = [t["content"] for t in spec["added_tokens"]]
+        self.blank = np.zeros(size, bool)
+        for token, number in self.tokenizer.get_vocab().items():
+            self.blank[number] = token.startswith("\u0120")  # the blank of byte levels
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, without an end id, as bytes."""
@@ -104,42 +109,81 @@ class Encoder:
         """Whether a text's chunks have the ids they have in it."""
         if not self.in_chunks or any(token in text for token in self.special):
             return False
-        if any(blank in text for blank in _RARE):
+        if any(blank in text for blank in (_RARE_ASCII if text.isascii() else _RARE)):
             return not _TOGETHER.search(text)
         return not ("  " in text or " \n" in text or "\n " in text or "\n\n\n" in text
                     or text.endswith("\n\n"))
 
     def _group(self, texts: list[str]) -> list[bytes]:
-        whole, chunks = [], []
+        if len(self.known) > CHUNKS_KEPT // 2:  # what is used again moves on
+            self.known, self.before = {}, self.known
+        get = self.known.get
+        whole, chunks, gaps, wanted = [], [], [], set()
         for text in texts:
             first, *rest = (text.replace("\n", " \n").split(" ") if self._cut(text)
                             else [text])
+            ids = list(map(get, rest))
+            if None in ids:
+                missing = [k for k, x in enumerate(ids) if x is None]
+                gaps.append((ids, [(k, rest[k]) for k in missing]))
+                wanted.update(map(rest.__getitem__, missing))
             whole.append(first)
-            chunks.append(rest)
-        wanted = set().union(*chunks)
-        if len(self.known) + len(wanted) > CHUNKS_KEPT:
-            self.known.clear()
-        self._learn(wanted.difference(self.known))
-        known = self.known.__getitem__
-        found = [ids + b"".join(map(known, rest))
-                 for ids, rest in zip(self._library(whole), chunks)]
-        for chunk in wanted:
-            if len(chunk) > LONG_CHUNK:
-                del self.known[chunk]
+            chunks.append(ids)
+        found = self._learn(wanted)
+        for ids, missing in gaps:
+            for k, chunk in missing:
+                ids[k] = found[chunk]
+        return [first + b"".join(ids) for first, ids in zip(self._library(whole), chunks)]
+
+    def _learn(self, chunks: set[str]) -> dict[str, bytes]:
+        """The ids of chunks, which are known from now on but for very long ones."""
+        found, words, others, ended = {}, set(), [], []
+        known, before = self.known, self.before
+        for chunk in chunks:
+            ids = before.get(chunk)
+            if ids is not None:
+                found[chunk] = ids
+            elif chunk.isalpha():
+                words.add(chunk)
+            else:
+                word = chunk.rstrip(_ENDS)
+                if len(word) < len(chunk) and word.isalpha():
+                    ended.append((chunk, word))  # marks after a word are split from it
+                else:
+                    others.append(chunk)
+        of_word = {}
+        for _, word in ended:
+            ids = known.get(word) or before.get(word) or found.get(word)
+            if ids is None:
+                words.add(word)
+            else:
+                of_word[word] = ids
+        found.update(self._words(list(words)))
+        found.update(zip(others, self._library(
+            [c if c[:1] == "\n" else f" {c}" for c in others])))
+        marks = list({c[len(w):] for c, w in ended})
+        of_mark = dict(zip(marks, self._library(marks)))
+        for chunk, word in ended:
+            found[chunk] = (of_word.get(word) or found[word]) + of_mark[chunk[len(word):]]
+        if found and max(map(len, found)) > LONG_CHUNK:
+            known.update((c, x) for c, x in found.items() if len(c) <= LONG_CHUNK)
+        else:
+            known.update(found)
         return found
 
-    def _learn(self, chunks: set[str]) -> None:
-        # marks after a letter or digit are split from it, and few
-        ended = {c: len(c.rstrip(_ENDS)) for c in chunks}
-        ended = {c: at for c, at in ended.items()
-                 if at < len(c) and at and c[at - 1].isalnum()}
-        cores = {c[:at] for c, at in ended.items()} | (chunks - ended.keys())
-        cores = list(cores.difference(self.known))
-        self.known.update(zip(cores, self._library(
-            [c if c[:1] == "\n" else f" {c}" for c in cores])))
-        marks = list({c[at:] for c, at in ended.items()})
-        ids = dict(zip(marks, self._library(marks)))
-        self.known.update((c, self.known[c[:at]] + ids[c[at:]]) for c, at in ended.items())
+    def _words(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Words of letters after a blank, many in one text: a word's ids begin
+        with the one that holds its blank, and no other does."""
+        width = self.kind.itemsize
+        for k in range(0, len(words), TOGETHER):
+            part = words[k:k + TOGETHER]
+            encoding = self.tokenizer.encode_batch_fast(
+                [" " + " ".join(part)], add_special_tokens=False)[0]
+            ids = np.array(encoding.ids, self.kind)
+            starts = (np.flatnonzero(self.blank[ids]) * width).tolist()
+            data = ids.tobytes()
+            yield from zip(part, (data[s:e] for s, e in
+                                  zip(starts, [*starts[1:], len(data)])), strict=True)
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [array(self.kind.char, e.ids).tobytes() for e in
