@@ -12,8 +12,8 @@ from .common import free, spread_join, with_small
 
 #: Documents of a source that are rounded together.
 BIN_ROWS = 2000
-#: Documents of a bin up to which all ways to round them are compared.
-FEW = 12
+#: Documents of a bin, and ways to round them, up to which all are compared.
+FEW, WAYS = 12, 600_000
 #: Relative gap between a constraint and its target that ends the iterations.
 TOLERANCE = 1e-9
 
@@ -64,69 +64,107 @@ def weighted_targets(totals: DataFrame, group: str, total: str,
 
 
 def balance(cells: DataFrame, size: str, constraints: dict[str, str],
-            scratch: Scratch, most: float = 2.0, rounds: int = 60) -> DataFrame:
-    """``cells`` with a ``rate`` that meets token constraints.
+            scratch: Scratch, most: float = 2.0, rounds: int = 200,
+            count: str | None = None) -> DataFrame:
+    """``cells`` with a ``rate`` of copies that meets token constraints.
 
-    Rates minimise the relative entropy to one copy of each document. The
-    convex dual gives them as exp(sum of one multiplier for each constraint a
-    cell is under), so constraints tilt rates and nothing else. ``constraints``
-    maps a column that names groups to one that holds the group's target, the
-    same in all its rows.
+    A cell stands for ``count`` documents (one, without it) of ``size`` tokens.
+    Rates minimise the relative entropy to one copy of each document, with at
+    most ``most`` copies. The convex dual gives them as exp(multiplier * size),
+    or ``most`` if that is less, where a cell's multiplier is the sum of those
+    of the constraints it is under: documents are tilted by their sizes.
+    ``constraints`` maps a column that names groups to one that holds the
+    group's target of tokens, the same in all its rows.
 
     One round takes a Newton step for the multipliers of each constraint in
-    turn. Within a constraint groups share no cell, so that the dual's Hessian
-    is diagonal there and a step is one grouped sum, distributed over cells.
-    Steps are cut to 2, which keeps the exponential from overshooting. Each
-    round is written to the shared folder. A group with nothing to take or to
-    give gets rate 0; rates end at ``most``.
+    turn. Within a constraint groups share no cell, so the dual's Hessian is
+    diagonal there and a step is one grouped sum, distributed over cells: the
+    gap to the target over the tokens times size of the rates below ``most``.
+    With one constraint a step that leaves the bounds known so far goes to
+    their middle instead; with several, steps tilt no document of the group by
+    more than a factor of e. Each round is written to the shared folder.
+
+    A group with nothing to take or to give gets rate 0, one whose target is
+    all it can give gets ``most``. Groups are met within ``TOLERANCE``, or as
+    near as ``rounds`` bring them.
     """
-    current = cells.withColumn("_log", F.lit(0.0))
+    weight = F.col(count) if count else F.lit(1)
+    alone = len(constraints) == 1
+    tilt = F.exp(F.col("_dual") * F.col(size))
+    rate = F.least(F.lit(float(most)), tilt)
+    length = F.col(size).cast("double")
+    state = {"_dual": F.lit(0.0), "_low": F.lit(float("-inf")), "_high": F.lit(float("inf"))}
+    current = scratch.stage(cells.withColumns(state), "balance-start")
     for turn in range(rounds):
         gaps = []
         for number, (group, target) in enumerate(constraints.items()):
-            taken = F.col(size) * F.exp("_log")
-            sums = (current.groupBy(group)
-                    .agg(F.sum(taken).alias("_taken"), F.max(target).alias("_target"))
-                    .withColumn("_step", F.greatest(F.lit(-2.0), F.least(F.lit(2.0),
-                        F.try_divide(F.col("_target") - F.col("_taken"),
-                                     F.col("_taken")))))
-                    .select(F.col(group).alias("_group"), "_step"))
-            current = (current.join(sums, F.col(group).eqNullSafe(F.col("_group")))
-                       .withColumn("_log", F.col("_log")
-                                   + F.coalesce("_step", F.lit(0.0)))
-                       .withColumn(f"_gap_{number}", F.abs(F.coalesce("_step", F.lit(0.0)))
-                                   * (F.col(target) > 0).cast("int"))
+            free_slope = F.when(tilt < most, weight * length * length * tilt)
+            sums = (current.where(F.col(size) > 0).groupBy(group).agg(
+                F.sum(weight * length * rate).alias("_taken"),
+                F.coalesce(F.sum(free_slope), F.lit(0.0)).alias("_slope"),
+                F.sum(weight * length).alias("_all"), F.max(target).alias("_target"),
+                F.min(length).alias("_least"), F.max(length).alias("_most"),
+                F.max("_dual").alias("_at"), F.max("_low").alias("_l"),
+                F.min("_high").alias("_h")))
+            gap = F.col("_target") - F.col("_taken")
+            open_ = ((F.col("_target") > 0)
+                     & (F.col("_target") < most * F.col("_all") * (1 - TOLERANCE)))
+            step = F.try_divide(gap, F.col("_slope"))
+            if alone:
+                # at these all documents have no copies, or ``most``
+                low = F.greatest("_l", F.when(gap > 0, F.col("_at")).otherwise(
+                    -700 / F.col("_least")))
+                high = F.least("_h", F.when(gap < 0, F.col("_at")).otherwise(
+                    F.lit(float(np.log(most))) / F.col("_least")))
+                to = F.col("_at") + step
+                step = F.when((to > low) & (to < high), to).otherwise(
+                    (low + high) / 2) - F.col("_at")
+            else:
+                low, high = F.lit(float("-inf")), F.lit(float("inf"))
+                step = F.greatest(-1 / F.col("_most"), F.least(1 / F.col("_most"), step))
+            met = F.abs(gap) <= TOLERANCE * F.col("_target")
+            sums = sums.select(
+                F.col(group).alias("_group"),
+                F.when(open_ & ~met, F.coalesce(step, F.lit(0.0))).otherwise(0.0).alias("_step"),
+                F.when(open_, F.abs(gap) / F.col("_target")).otherwise(0.0).alias(f"_gap_{number}"),
+                low.alias("_low"), high.alias("_high"), (~open_).alias(f"_full_{number}"))
+            current = (current.drop("_low", "_high", f"_gap_{number}", f"_full_{number}")
+                       .join(sums, F.col(group).eqNullSafe(F.col("_group")), "left")
+                       .withColumn("_dual", F.col("_dual") + F.coalesce("_step", F.lit(0.0)))
                        .drop("_group", "_step"))
             gaps.append(F.max(f"_gap_{number}"))
         current = scratch.stage(current, f"balance-{turn}")
         worst = max((g or 0.0) for g in current.agg(*gaps).first())
-        scratch.release(f"balance-{turn - 1}")
-        current = current.drop(*(f"_gap_{k}" for k in range(len(constraints))))
-        if worst < TOLERANCE:
+        scratch.release("balance-start" if turn == 0 else f"balance-{turn - 1}")
+        if worst <= TOLERANCE:
             break
-    none = F.lit(False)
-    for target in constraints.values():
+    none, full = F.col(size) <= 0, F.lit(False)
+    for number, target in enumerate(constraints.values()):
         none = none | (F.col(target) <= 0)
-    rate = F.when(none | (F.col(size) <= 0), 0.0).otherwise(
-        F.least(F.lit(float(most)), F.exp("_log")))
-    return current.withColumn("rate", rate).drop("_log")
+        full = full | F.coalesce(f"_full_{number}", F.lit(False))
+    current = current.withColumn(
+        "rate", F.when(none, 0.0).when(full, float(most)).otherwise(rate))
+    return current.select(*cells.columns, "rate")
 
 
-def _settle(copies: np.ndarray, size: np.ndarray, whole: np.ndarray,
-            rate: np.ndarray, owed: float, most_steps: int = 20) -> None:
+def _settle(copies: np.ndarray, size: np.ndarray, whole: np.ndarray, rate: np.ndarray,
+            owed: float, most: int, most_steps: int = 20) -> None:
     """Give or take single copies, or one for another, while less is owed.
 
-    This matters where a bin has few documents. Each stays at its rate rounded
-    down or up.
+    Each document stays at its rate rounded down or up, but for a bin of a
+    handful, which gets the copies that come nearest to what it should give,
+    and of these the ones nearest to the rates.
     """
-    free_rows = np.flatnonzero((rate > whole) & (size > 0))
-    if 0 < len(free_rows) <= FEW:  # all ways to round a handful
-        ways = np.arange(1 << len(free_rows))[:, None] >> np.arange(len(free_rows)) & 1
-        now = copies[free_rows] - whole[free_rows]
-        change = ways @ size[free_rows] - now @ size[free_rows]
-        best = np.abs(owed - change).argmin()
-        copies[free_rows] = whole[free_rows] + ways[best]
+    real = np.flatnonzero(size > 0)
+    if 0 < len(real) <= FEW and (most + 1) ** len(real) <= WAYS:  # a handful: all ways
+        ways = np.stack(np.meshgrid(*[np.arange(most + 1)] * len(real), indexing="ij"),
+                        -1).reshape(-1, len(real))
+        off = np.abs(owed + (copies[real] - ways) @ size[real])
+        near = np.flatnonzero(off <= off.min() + 1e-9)
+        tilted = np.abs(ways[near] - rate[real]) @ size[real]
+        copies[real] = ways[near[tilted.argmin()]]
         return
+    free_rows = np.flatnonzero((rate > whole) & (size > 0))
     for _ in range(most_steps):
         up = free_rows[copies[free_rows] == whole[free_rows]]
         down = free_rows[copies[free_rows] > whole[free_rows]]
@@ -163,7 +201,7 @@ def _round_bin(columns: list[str], most: int):
             more = size[k] > 0 and whole[k] < most and 2 * owed >= size[k]
             copies[k] = whole[k] + more
             owed -= more * size[k]
-        _settle(copies, size, whole, rate, owed)
+        _settle(copies, size, whole, rate, owed, most)
         return rows[columns].assign(copies=np.where(size > 0, copies, 0))
     return run
 
@@ -182,7 +220,8 @@ def mix(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id",
     """(id, group, size, repeats, group_size, target, rate, copies) of documents.
 
     Sizes are words. Targets are those of ``weighted_targets``, rates those of
-    ``balance``, and copies are rates made whole:
+    ``balance`` over the sizes that each group has, and copies are rates made
+    whole:
 
     the documents of a group are dealt by a hash of their id into bins of about
     ``BIN_ROWS``, however many there are. In a bin, from the largest document
@@ -202,14 +241,19 @@ def mix(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id",
         F.count("*").alias("rows"))
     cells = weighted_targets(
         scratch.stage(totals, "totals"), "group", "group_size", weights, share, most)
-    rates = balance(scratch.stage(cells, "cells"), "group_size",
-                    {"group": "target"}, scratch, most)
-    rates = scratch.stage(rates, "rates")
-    # a group may hold a third of all rows: its key goes with a salt
+    # documents of one source and size are tilted alike
+    sizes = units.groupBy("group", "size").agg(F.sum("repeats").alias("documents"))
     key = F.coalesce(F.concat(F.lit("="), F.col("group").cast("string")), F.lit(""))
+    sizes = spread_join(scratch.stage(sizes.withColumn("_key", key), "sizes"),
+                        cells.withColumn("_key", key).drop("group"), "_key").drop("_key")
+    rates = balance(scratch.stage(sizes, "cells"), "size", {"group": "target"}, scratch,
+                    most, count="documents")
+    rates = scratch.stage(rates.drop("documents"), "rates")
+    # a source and a size may hold a third of all rows: their key goes with a salt
+    key = F.concat_ws("\0", F.col("size").cast("string"), key)
     dealt = spread_join(
         scratch.stage(units.withColumn("_key", key), "keyed"),
-        rates.withColumn("_key", key).drop("group"), "_key").drop("_key")
+        rates.withColumn("_key", key).drop("group", "size"), "_key").drop("_key")
     dealt = dealt.withColumn(
         "bin", F.pmod(F.xxhash64("id"), F.ceil(F.col("rows") / BIN_ROWS)))
     columns = ["id", "group", "size", "repeats", "group_size", "target", "rate"]

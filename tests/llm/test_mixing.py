@@ -1,3 +1,5 @@
+import math
+import random
 import re
 from collections import Counter
 
@@ -46,6 +48,51 @@ def test_balance_meets_two_constraints_at_once(spark):
             assert sum(r.n * r.rate for r in part) == pytest.approx(part[0][target], rel=1e-5)
 
 
+def brute_rates(sizes, target, most=2.0):
+    """The convex solution for one group, by bisection of the tilt."""
+    if target >= most * sum(sizes):
+        return [most] * len(sizes)
+    low, high = -800 / min(sizes), math.log(most) / min(sizes)
+    given = lambda t: [min(most, math.exp(max(-700.0, min(700.0, t * n)))) for n in sizes]
+    for _ in range(400):
+        middle = (low + high) / 2
+        taken = sum(n * r for n, r in zip(sizes, given(middle)))
+        low, high = (middle, high) if taken < target else (low, middle)
+    return given((low + high) / 2)
+
+
+@pytest.mark.parametrize("share", [0.05, 0.6, 1.0, 1.3, 1.9, 1.999999, 2.0])
+def test_rates_are_the_convex_solution(spark, share):
+    chance = random.Random(int(share * 100))
+    groups = {g: [chance.randrange(1, 10 ** chance.randrange(1, 6)) for _ in range(n)]
+              for g, n in (("a", 1), ("b", 5), ("c", 60), (None, 20))}
+    rows = [(g, n, 1, share * sum(sizes)) for g, sizes in groups.items() for n in sizes]
+    cells = spark.createDataFrame(rows, "g string, n long, c long, t double")
+    with Scratch(spark) as scratch:
+        found = mixing.balance(cells, "n", {"g": "t"}, scratch, count="c").collect()
+    for g, sizes in groups.items():
+        own = {r.n: r.rate for r in found if r.g == g}
+        assert own == pytest.approx(dict(zip(sizes, brute_rates(sizes, share * sum(sizes)))),
+                                    rel=1e-4, abs=1e-12)
+        assert sum(n * own[n] for n in sizes) == pytest.approx(share * sum(sizes), rel=1e-6)
+        if share not in (1.0, 2.0) and len(set(sizes)) > 3:
+            assert len({round(r, 6) for r in own.values()}) > 1  # tilted by size
+
+
+def test_cells_with_counts_are_as_many_documents(spark):
+    one = spark.createDataFrame([("a", n, 100.0) for n in (5, 5, 5, 40, 40, 9)],
+                                "g string, n long, t double")
+    many = spark.createDataFrame([("a", 5, 3, 100.0), ("a", 40, 2, 100.0), ("a", 9, 1, 100.0),
+                                  ("a", 0, 7, 100.0), ("z", 3, 2, 0.0)],
+                                 "g string, n long, c long, t double")
+    with Scratch(spark) as scratch:
+        single = {r.n: r.rate for r in mixing.balance(one, "n", {"g": "t"}, scratch).collect()}
+        found = {(r.g, r.n): r.rate for r in mixing.balance(
+            many, "n", {"g": "t"}, scratch, count="c").collect()}
+    assert {n: r for (g, n), r in found.items() if g == "a" and n} == pytest.approx(single)
+    assert found["a", 0] == found["z", 3] == 0
+
+
 @pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
 def test_query_comes_near_its_targets(spark, sf):
     path = f"/root/testdata/{sf}"
