@@ -50,7 +50,7 @@ SHARD_BYTES, SHARD_ROWS = 16 << 20, 1_000_000
 PART_KEYS = 50_000
 #: Chunks whose ids a worker remembers, a fifth of a kilobyte each, and their
 #: greatest length.
-CHUNKS_KEPT, LONG_CHUNK = 1_200_000, 64
+CHUNKS_KEPT, LONG_CHUNK = 800_000, 64
 #: Characters of texts, and unknown words, that are encoded together.
 GROUP, TOGETHER = 2_000_000, 1000
 _ENDS = ".,;:!?"

@@ -1,9 +1,10 @@
 import math
 
 import numpy as np
+import pytest
 
 from lastro.llm import embeddings, queries
-from lastro.llm.embeddings import Settings, near_duplicates
+from lastro.llm.embeddings import Settings, Tree, missed_pairs, near_duplicates
 from tests.llm.test_minhash import roots
 
 SCHEMA = "vec_id long, embedding array<float>"
@@ -91,3 +92,71 @@ def test_query(spark):
     found = queries.op9_embeddings(spark, "/root/testdata/sf0.001")
     assert found.columns == ["vec_id", "n_links", "component_id", "kept"]
     assert found.count() == 500
+
+
+def unit_rows(random, rows, size):
+    x = random.normal(size=(rows, size))
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("size, total", [(64, 51_282), (384, 300_000), (768, 51_282),
+                                         (1024, 20_000)])
+def test_copies_do_not_grow_with_the_dimension(size, total):
+    random = np.random.default_rng(size)
+    sample, settings = unit_rows(random, 3000, size), Settings()
+    trees = [Tree.grow(sample, total, settings, random) for _ in range(settings.trees)]
+    fresh = unit_rows(random, 500, size)
+    copies = sum(len(t.find(fresh)[0]) for t in trees) / len(fresh)
+    assert 4 <= copies <= 20
+    assert missed_pairs(sample, trees, settings.cosine, random) <= 0.01
+
+
+def test_grafted_leaves_take_the_place_of_others():
+    random = np.random.default_rng(4)
+    sample, settings = unit_rows(random, 400, 8), Settings(leaf=50)
+    tree = Tree.grow(sample, 400, settings, random)
+    part = {leaf: Tree.grow(sample[:100], 100, Settings(leaf=20), random)
+            for leaf in (0, tree.leaves - 1)}
+    whole = tree.graft(part)
+    before, after = tree.find(sample), whole.find(sample)
+    other = ~np.isin(before[1], list(part))
+    kept = set(zip(before[0][other].tolist(), before[1][other].tolist()))
+    assert kept == {p for p in zip(*(x.tolist() for x in after)) if p[1] < tree.leaves}
+    moved = {(r, leaf) for r, leaf in zip(*(x.tolist() for x in before)) if leaf in part}
+    assert {r for r, _ in moved} == {r for r, leaf in zip(*(x.tolist() for x in after))
+                                     if leaf >= tree.leaves}
+    alone = Tree.grow(sample[:5], 5, settings, random)  # a leaf, and no node
+    assert alone.root == -1 and alone.find(sample)[1].max() == 0
+    assert alone.graft({0: part[0]}).root == 0
+    assert alone.graft({0: alone}).closed[0]
+
+
+def test_leaves_are_bounded_whatever_the_sample(spark, monkeypatch):
+    random = np.random.default_rng(6)
+    rows = [(k, v.astype(np.float32).tolist()) for k, v in enumerate(unit_rows(random, 6000, 16))]
+    monkeypatch.setattr(embeddings, "SAMPLE_VECTORS", 150)
+    monkeypatch.setattr(embeddings, "LEAF_SAMPLE", 200)
+    units = embeddings.unit_vectors(spark.createDataFrame(rows, SCHEMA), "vec_id",
+                                    "embedding").cache()
+    settings = Settings(leaf=60, trees=2, most_trees=2)
+    trees = embeddings.fit_forest(units, settings)[16]
+    x = np.array([r[1] for r in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for tree in trees:
+        row, leaf = tree.find(x)
+        assert set(row.tolist()) == set(range(6000))
+        assert np.bincount(leaf).max() <= 2 * settings.leaf
+        assert not tree.closed[np.unique(leaf)].any()
+    units.unpersist()
+
+
+def test_vectors_that_split_keep_their_links(spark):
+    rows = clusters(seed=9, groups=1600, each=12, size=64)
+    table = spark.createDataFrame(rows, SCHEMA)
+    found = near_duplicates(table).cache()
+    assert found.count() == len(rows) == 19_200
+    assert 0.99 <= embeddings.recall(table, found, queries=2000) <= 1.0
+    assert found.where("n_links > 0").count() > 5000
+    units = embeddings.unit_vectors(table, "vec_id", "embedding")
+    assert all(t.leaves > 20 for t in embeddings.fit_forest(units, Settings())[64])
+    found.unpersist()
