@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import importlib.util
 import os
 import re
 import sys
@@ -39,9 +40,11 @@ from lastro.sources.sample import bronze_sample, transactions_from_orders  # noq
 from lastro.sources.scratch import remove  # noqa: E402
 from oracles import ORACLES  # noqa: E402
 
-try:
+# the subpackage is optional, the rest works without it; a fault in it is none
+_found = importlib.util.find_spec("lastro.llm")
+if _found is not None and _found.origin is not None:
     from lastro.llm import queries as corpus  # noqa: E402
-except ImportError:  # the subpackage is optional, the rest works without it
+else:
     corpus = None
 
 SECOND_DELIVERY_FROM = "1998-01-01"
@@ -299,6 +302,30 @@ def medallion_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.scan(spark, layers.risk_monitor).withColumn("corrompidas_a_parte", apart)
 
 
+def profile_by_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of each delivery, counted when it came."""
+    layers = private_layers(spark, "profile_by_delivery", sf_dir)
+    for table in (layers.bronze, layers.ledger, layers.quality):
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    folder = sources.new_path(spark, "profiled")
+    for number, delivery in enumerate(deliveries(spark, sf_dir), start=1):
+        write_csv(delivery.coalesce(1), f"{folder}/entrega-{number}")
+        sources.load_deliveries(spark, f"{folder}/*", layers.bronze, layers.ledger)
+        plans.profile_loads(spark, layers)
+    return spark.table(layers.quality).select(
+        of_delivery(SOURCE_FILE).alias("entrega"), "total_linhas", f"nulos_{NAME}",
+        f"nulos_{CPF}", f"rejeitados_{AMOUNT}", f"rejeitados_{DATE}", "cpf_fora_do_padrao",
+        "idade_negativa", F.round(F.col(f"nulos_{NAME}") / F.col("total_linhas") * 100, 2)
+        .alias(f"percentual_{NAME}"))
+
+
+def rules(bronze: DataFrame) -> dict[str, Column]:
+    """The validity rules, a name that is missing, and values that are lost."""
+    lost = {f"{c}_ilegivel": raw.isNotNull() & value.isNull()
+            for c, (raw, value) in parsed_values().items()}
+    return {**validity_rules(bronze), "nome_ausente": F.col(NAME).isNull(), **lost}
+
+
 def gold_by_delivery(product: Callable[[plans.States], DataFrame]):
     """A data product from states of two loads, each folded when it came."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -347,6 +374,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             lambda b: operators.violations(b, negative_age(b))),
         "invalid_age_text": on_bronze(
             lambda b: operators.violations(t := text_bronze(b), negative_age(t))),
+        "rules_broken": on_bronze(lambda b: operators.rules_broken(b, rules(b)).select(
+            ID, F.array_join("regras_quebradas", ",").alias("regras_quebradas"))),
+        "rules_counted": on_bronze(lambda b: operators.count_by_rule(
+            operators.rules_broken(b, rules(b)))),
+        "profile_by_delivery": profile_by_delivery,
         # cleaning rules
         "fill_null_name": on_bronze(lambda b: operators.fill_null(
             b, NAME, UNKNOWN_NAME).select(ID, NAME)),

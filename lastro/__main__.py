@@ -2,6 +2,8 @@
 file with the package on the path (``--py-files``).
 
     ingest FOLDER               add the files of a delivery to bronze
+    load FOLDER                 add the files not loaded yet, put wrong ones aside,
+                                print what became of each, note their quality
     arrivals FOLDER --log DIR   add the files that are new since the last run
     check --output DIR          write the quality checks on bronze
     refresh                     rebuild silver and gold from bronze
@@ -24,7 +26,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(
         prog="lastro", description=__doc__,
         formatter_class=argparse.RawDescriptionHelpFormatter)
-    parser.add_argument("step", choices=["ingest", "arrivals", "check", "refresh"])
+    parser.add_argument("step", choices=["ingest", "load", "arrivals", "check", "refresh"])
     parser.add_argument("folder", nargs="?", help="where the CSV files are")
     parser.add_argument("--log", help="where arrivals remembers loaded files")
     parser.add_argument("--catalog")
@@ -48,11 +50,16 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
                         help="of the mean, above which an amount is a risk")
     parser.add_argument("--rule", help="SQL condition that check takes for a "
                         "violation; a negative age by default")
+    parser.add_argument("--load-changed", action="store_true",
+                        help="load files whose path was loaded with other lines")
+    parser.add_argument("--together", action="store_true",
+                        help="refresh replaces all tables of silver and gold at one "
+                        "moment; they become views")
     parser.add_argument("--output", help="where check writes the rows it finds")
     parser.add_argument("--report", action="store_true",
                         help="after refresh, print the quality of the raw rows")
     args = parser.parse_args(argv)
-    if args.step in ("ingest", "arrivals") and not args.folder:
+    if args.step in ("ingest", "load", "arrivals") and not args.folder:
         parser.error(f"{args.step} needs a folder")
     if args.step == "arrivals" and not args.log:
         parser.error("arrivals needs --log")
@@ -89,11 +96,18 @@ def check(spark: SparkSession, layers: Layers, output: str, key: str = ID,
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     layers = Layers(args.bronze, args.silver, args.gold, args.catalog)
     csv = {"multiLine": "true"} if args.multiline else {}
-    if args.step in ("ingest", "arrivals"):
+    if args.step in ("ingest", "load", "arrivals"):
         sources.ensure_schema(spark, layers.schema(layers.bronze_schema))
     if args.step == "ingest":
         sources.append_history(
             spark, args.folder, layers.bronze, fmt=args.format, **csv)
+    elif args.step == "load":
+        found = sources.load_deliveries(
+            spark, args.folder, layers.bronze, layers.ledger, fmt=args.format,
+            load_changed=args.load_changed, **csv)
+        for row in found.orderBy("arquivo").toLocalIterator():
+            print(json.dumps(row.asDict(), ensure_ascii=False))
+        plans.profile_loads(spark, layers)
     elif args.step == "arrivals":
         streaming.ingest_arrivals(
             spark, args.folder, layers.bronze, args.log, fmt=args.format, **csv)
@@ -101,8 +115,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         found = check(spark, layers, args.output, args.key or ID, args.rule)
         print(json.dumps(found, indent=2))
     else:
-        report = plans.refresh(
-            spark, layers, fmt=args.format, money_type=args.money,
+        refresh = plans.refresh_together if args.together else plans.refresh
+        fmt = {"fmt": args.format} if args.format or not args.together else {}
+        report = refresh(
+            spark, layers, **fmt, money_type=args.money,
             strip_whitespace=args.strip_whitespace, on_error=args.on_error,
             multiplier=args.multiplier, key=args.key or NAME,
             where=F.expr(args.where) if args.where else None,

@@ -44,6 +44,7 @@ BRONZE_TABLE = "br_transacoes_bancarias"
 SILVER_TABLE = "pr_transacoes_bancarias"
 CORRUPT_TABLE = "registros_corrompidos"
 LEDGER_TABLE = "entregas"
+QUALITY_TABLE = "qualidade_entregas"
 CLIENT_TABLE = "v_finan_cli"
 BANK_TABLE = "v_gral_banco"
 RISK_TABLE = "monit_risco"
@@ -102,6 +103,10 @@ class Layers:
     def ledger(self) -> str:
         return self.table(self.bronze_schema, LEDGER_TABLE)
 
+    @property
+    def quality(self) -> str:
+        return self.table(self.bronze_schema, QUALITY_TABLE)
+
     @property
     def silver(self) -> str:
         return self.table(self.silver_schema, SILVER_TABLE)

@@ -8,11 +8,17 @@ from lastro.operators.cleaning import (
 from lastro.operators.completeness import null_counts, null_percent
 from lastro.operators.profile import quality_metrics, quality_profile
 from lastro.operators.uniqueness import duplicates, repeated_keys
-from lastro.operators.validity import cast_rejects, violations
+from lastro.operators.validity import (
+    cast_rejects,
+    count_by_rule,
+    rules_broken,
+    violations,
+)
 
 __all__ = [
     "cast_cols",
     "cast_rejects",
+    "count_by_rule",
     "duplicates",
     "fill_null",
     "flag_length",
@@ -22,6 +28,7 @@ __all__ = [
     "quality_metrics",
     "quality_profile",
     "repeated_keys",
+    "rules_broken",
     "trim_col",
     "violations",
 ]

@@ -13,6 +13,29 @@ def violations(df: DataFrame, predicate: Column) -> DataFrame:
     return df.filter(predicate)
 
 
+def rules_broken(df: DataFrame, rules: Mapping[str, Column],
+                 result: str = "regras_quebradas") -> DataFrame:
+    """The rows that break any rule, each with the names of those it breaks.
+
+    All rules are judged in one pass; a predicate that is NULL is not broken.
+    Names come in the order of ``rules``. A column named like ``result`` is
+    replaced, after the rules were judged.
+    """
+    if not rules:
+        raise ValueError("there are no rules")
+    names = F.array_compact(F.array(*[F.when(p, F.lit(name)) for name, p in rules.items()]))
+    return df.withColumn(result, names).filter(F.size(result) > 0)
+
+
+def count_by_rule(broken: DataFrame, result: str = "regras_quebradas") -> DataFrame:
+    """(regra, linhas) for each rule that a row of ``rules_broken`` breaks.
+
+    Rows are added up in their tasks; a row a rule is shuffled for each task.
+    """
+    return (broken.select(F.explode(result).alias("regra"))
+            .groupBy("regra").agg(F.count("*").alias("linhas")))
+
+
 def rejected(raw: Column, parsed: Column) -> Column:
     """Rows where a value was present but could not be parsed."""
     return F.count_if(raw.isNotNull() & parsed.isNull())

@@ -7,7 +7,7 @@ from lastro.plans.gold import (
     mean_threshold,
     risk_monitor,
 )
-from lastro.plans.increments import States, fold_loads
+from lastro.plans.increments import States, fold_loads, profile_loads
 from lastro.plans.medallion import refresh, refresh_together, save_gold, save_silver
 from lastro.plans.silver import cleaning_rules, refine
 
@@ -21,6 +21,7 @@ __all__ = [
     "client_summary",
     "fold_loads",
     "mean_threshold",
+    "profile_loads",
     "refine",
     "refresh",
     "refresh_together",

@@ -12,6 +12,7 @@ band that the threshold cuts.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 from decimal import Decimal
 
@@ -33,7 +34,8 @@ from lastro.names import (
     quoted,
 )
 from lastro.plans.gold import BANK_COLUMNS, CLIENT_COLUMNS, RISK_COLUMNS, RISK_MULTIPLIER
-from lastro.plans.silver import refine
+from lastro.operators import quality_metrics
+from lastro.plans.silver import parsed_values, refine, validity_rules
 from lastro.sources import Scratch, ensure_schema, read_ledger, scan, write_table
 from lastro.sources.ledger import LOADED, RECEIVED
 from lastro.sources.scratch import remove
@@ -249,38 +251,70 @@ class States:
         write_table(self.risk_monitor(multiplier), self.layers.risk_monitor, fmt=fmt)
 
 
-def fold_loads(states: States, keep: int = 50, **rule_options) -> list[str]:
-    """Fold every load of the ledger that the states do not hold yet; returns them.
+def loads_after(spark: SparkSession, layers: Layers,
+                taken: set[str]) -> Iterator[tuple[str, DataFrame]]:
+    """(carga, its bronze rows) of each finished load of the ledger not ``taken``.
 
     A load's rows are those of its files that came between its two events. A
     load wrote its own files of bronze, so filters on name and time skip the
-    rest of the history by its statistics. Beyond ``keep`` deliveries, states
-    are compacted; the table ``<name>_cargas`` tells which loads they hold.
-    Rows loaded without a ledger are in no load. One caller at a time.
+    rest of the history by its statistics.
     """
-    spark, layers = states.spark, states.layers
-    taken_table = layers.table(layers.gold_schema, f"{states.name}_cargas")
-    taken = ({r[0] for r in scan(spark, taken_table).collect()}
-             if spark.catalog.tableExists(taken_table) else set())
     event = F.col("situacao")
     events = read_ledger(spark, layers.ledger).where(event.isin(RECEIVED, LOADED))
     loads = (events.groupBy("carga").agg(
         F.min(F.when(event == RECEIVED, F.col("registrado_em"))).alias("begin"),
         F.max(F.when(event == LOADED, F.col("registrado_em"))).alias("end"),
         F.min("arquivo").alias("low"), F.max("arquivo").alias("high"))
-        .where("end IS NOT NULL").orderBy("begin").collect())
-    folded = []
+        .where("begin IS NOT NULL AND end IS NOT NULL").orderBy("begin").collect())
     for load in (r for r in loads if r["carga"] not in taken):
         files = events.where((F.col("carga") == load["carga"]) & (event == LOADED)).select(
             F.col("arquivo").alias(SOURCE_FILE))
-        rows = (scan(spark, layers.bronze)
-                .where(F.col(SOURCE_FILE).between(load["low"], load["high"])
-                       & F.col(INGESTED_AT).between(load["begin"], load["end"]))
-                .join(files, SOURCE_FILE, "left_semi"))
-        states.fold(refine(rows, **rule_options), load["carga"])
-        write_table(spark.createDataFrame([(load["carga"],)], "carga STRING").coalesce(1),
-                    taken_table, mode="append")
-        folded.append(load["carga"])
+        yield load["carga"], (scan(spark, layers.bronze).where(
+            F.col(SOURCE_FILE).between(load["low"], load["high"])
+            & F.col(INGESTED_AT).between(load["begin"], load["end"]))
+            .join(files, SOURCE_FILE, "left_semi"))
+
+
+def _noted(spark: SparkSession, table: str) -> set[str]:
+    if not spark.catalog.tableExists(table):
+        return set()
+    return {r[0] for r in scan(spark, table).select("carga").distinct().collect()}
+
+
+def fold_loads(states: States, keep: int = 50, **rule_options) -> list[str]:
+    """Fold every load of the ledger that the states do not hold yet; returns them.
+
+    Beyond ``keep`` deliveries, states are compacted; the table ``<name>_cargas``
+    tells which loads they hold. Rows loaded without a ledger are in no load.
+    One caller at a time.
+    """
+    spark, layers = states.spark, states.layers
+    table = layers.table(layers.gold_schema, f"{states.name}_cargas")
+    folded = []
+    for load, rows in loads_after(spark, layers, _noted(spark, table)):
+        states.fold(refine(rows, **rule_options), load)
+        write_table(spark.createDataFrame([(load,)], "carga STRING").coalesce(1),
+                    table, mode="append")
+        folded.append(load)
     if len(states.known()) > keep:
         states.compact()
     return folded
+
+
+def profile_loads(spark: SparkSession, layers: Layers = Layers()) -> list[str]:
+    """Add the quality of every load not profiled yet to ``layers.quality``.
+
+    One row a file and load, with the metrics of ``quality_metrics`` over its
+    raw rows: the history of what was missing, unreadable or broken, delivery
+    by delivery. Each load is read once, and added up in its tasks. Returns the
+    loads; one that was interrupted is profiled by the next call, as its rows
+    are written together.
+    """
+    profiled = []
+    for load, rows in loads_after(spark, layers, _noted(spark, layers.quality)):
+        columns = [c for c in rows.columns if c != SOURCE_FILE]
+        found = rows.groupBy(SOURCE_FILE).agg(*quality_metrics(
+            columns, parsed_values(), validity_rules(rows)))
+        write_table(found.withColumn("carga", F.lit(load)), layers.quality, mode="append")
+        profiled.append(load)
+    return profiled

@@ -136,6 +136,16 @@ REJECTS = {
 }
 
 
+REJECTS_AMOUNT = f"valor_transacao IS NOT NULL AND {AMOUNT} IS NULL"
+REJECTS_DATE = f"data_transacao IS NOT NULL AND {DATE} IS NULL"
+BROKEN = f"""list_filter([
+  CASE WHEN length(cpf) <> 11 THEN 'cpf_fora_do_padrao' END,
+  CASE WHEN idade < 0 THEN 'idade_negativa' END,
+  CASE WHEN nome_cliente IS NULL THEN 'nome_ausente' END,
+  CASE WHEN {REJECTS_AMOUNT} THEN 'valor_transacao_ilegivel' END,
+  CASE WHEN {REJECTS_DATE} THEN 'data_transacao_ilegivel' END], lambda r: r IS NOT NULL)"""
+
+
 def one_column(expression: str, name: str) -> str:
     return over_bronze(f"SELECT id_transacao, {expression} AS {name} FROM bronze")
 
@@ -270,4 +280,21 @@ FROM silver GROUP BY nome_cliente""", AMOUNT_DECIMAL),
     "gold_by_delivery_risk": over_silver(
         risk(f"(SELECT CAST({EXACT_MEAN} AS DECIMAL(22,6)) * 2 FROM silver)"),
         AMOUNT_DECIMAL),
+    "rules_broken": over_bronze(f"""
+SELECT id_transacao, array_to_string(regras, ',') AS regras_quebradas
+FROM (SELECT id_transacao, {BROKEN} AS regras FROM bronze) WHERE len(regras) > 0"""),
+    "rules_counted": over_bronze(f"""
+SELECT regra, count(*) AS linhas
+FROM (SELECT unnest({BROKEN}) AS regra FROM bronze) GROUP BY regra"""),
+    "profile_by_delivery": over_bronze(f"""
+SELECT CASE WHEN primeira_entrega THEN 'entrega-1' ELSE 'entrega-2' END AS entrega,
+       count(*) AS total_linhas,
+       count(*) - count(nome_cliente) AS nulos_nome_cliente,
+       count(*) - count(cpf) AS nulos_cpf,
+       count(*) FILTER (WHERE {REJECTS_AMOUNT}) AS rejeitados_valor_transacao,
+       count(*) FILTER (WHERE {REJECTS_DATE}) AS rejeitados_data_transacao,
+       count(*) FILTER (WHERE length(cpf) <> 11) AS cpf_fora_do_padrao,
+       count(*) FILTER (WHERE idade < 0) AS idade_negativa,
+       round((count(*) - count(nome_cliente)) / count(*) * 100, 2) AS percentual_nome_cliente
+FROM bronze GROUP BY ALL"""),
 }
