@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from lastro.llm import decontaminate, minhash, mixing, quality, secrets
 from lastro.llm.common import fold
 from lastro.llm.queries import ready
-from lastro.sources.scratch import stage
+from lastro.sources.scratch import collected, new_path, remove, stage
 
 #: SQL cannot express the fitted stages; tests hold each against brute force.
 ORACLE_SQL = None
@@ -70,8 +70,17 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each staged in the shared folder."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``, each staged in the shared folder.
+
+    Only the last stage's result stays there: a stage goes when the next one is
+    written, and with it whatever its operator left for it.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, function in STAGES:
-        docs = stage(function(spark, docs, sf_dir), name.replace(" ", "-"))
+        with collected() as made:
+            path = new_path(spark, name.replace(" ", "-"))
+            docs = stage(function(spark, docs, sf_dir), name, path)
+        for other in [*before, *(p for p in made if p != path)]:
+            remove(spark, other)
+        before = [path]
     return docs

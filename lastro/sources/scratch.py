@@ -5,11 +5,16 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, str] = {}
 
+_collecting: ContextVar[tuple[list[str], ...]] = ContextVar("collecting", default=())
+
 LOCAL_PATH_OPTION = "spark.lastro.localPathIsShared"
 
 
@@ -52,7 +57,25 @@ def is_local_path(path: str) -> bool:
 
 def new_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing else uses."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    for made in _collecting.get():
+        made.append(path)
+    return path
+
+
+@contextmanager
+def collected() -> Iterator[list[str]]:
+    """The paths that ``new_path`` gives within the block, in this thread.
+
+    For who runs a computation to its end, and so knows that what it staged is
+    needed no more, also where the computation itself had to leave it.
+    """
+    made: list[str] = []
+    token = _collecting.set((*_collecting.get(), made))
+    try:
+        yield made
+    finally:
+        _collecting.reset(token)
 
 
 def stage(df: DataFrame, label: str, path: str = "") -> DataFrame:
