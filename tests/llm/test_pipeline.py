@@ -4,7 +4,8 @@ import re
 
 import corpus_pipeline as pipeline
 from lastro.llm import mixing, secrets
-from lastro.sources.scratch import stage
+from lastro.sources.scratch import shared_folder, stage
+from lastro.sources.versions import folders
 from tests.llm.helpers import awkward, empty
 from tests.llm.test_decontaminate import brute as leaked
 from tests.llm.test_minhash import brute as near
@@ -82,9 +83,24 @@ def test_awkward_rows_pass_every_stage(spark):
             assert out.columns == columns, name
             if name in ("benchmark decontamination", "secret scans"):
                 assert out.count() == docs.count()
-        assert mixing.apply_mix(docs).count() >= 0
-
-
-def test_run(spark):
+        mixed = mixing.apply_mix(docs)
+        assert set(mixed.columns) == {*columns, "copy"}
+        copies = {}
+        for r in mixed.collect():
+            copies.setdefault((r.doc_id, r.source, r.text), []).append(r.copy)
+        rows = {}
+        for r in docs.collect():
+            if r.text and r.text.split():
+                rows[r.doc_id, r.source, r.text] = rows.get((r.doc_id, r.source, r.text), 0) + 1
+        assert set(copies) <= set(rows)
+        assert all(len(c) <= 2 * rows[k] for k, c in copies.items())
+        assert bool(copies) == bool(rows)
+
+
+def test_run_leaves_its_result_only(spark):
     assert pipeline.ORACLE_SQL is None
-    assert pipeline.run(spark, SF).count() > 50
+    before = set(folders(spark, shared_folder(spark)))
+    result = pipeline.run(spark, SF)
+    assert result.count() > 50
+    left = set(folders(spark, shared_folder(spark))) - before
+    assert [p.rsplit("/", 1)[1].rsplit("-", 1)[0] for p in left] == ["mixing-sources"]
