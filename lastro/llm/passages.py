@@ -45,8 +45,8 @@ _NO_BLANKS = rb"[\xe3-\xe9][\x80-\xbf]{2}|\xe0[\xb8-\xbb][\x80-\xbf]"
 _DENSE = re.compile(_NO_BLANKS)
 _TOKEN = re.compile(_NO_BLANKS + rb"|(?:(?![\xe3-\xe9]|\xe0[\xb8-\xbb])[^\t-\r ])+")
 _BASES = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4D
-#: Bytes of a text whose words are hashed at once.
-CODED = 1 << 20
+#: Bytes of a text whose words are hashed at once, and of texts cut up together.
+CODED, GROUP = 1 << 20, 1 << 18
 #: A digest with more than this share of all units gets its rows salted.
 _HOT_SHARE, _SALTS = 1 / 2000, 64
 
@@ -267,23 +267,41 @@ def _unit_digests(codes: list[np.ndarray], first: np.ndarray, last: np.ndarray)
                      for own, base in zip(codes, _BASES)], 1)
 
 
+def _groups(batch: pa.RecordBatch) -> Iterator[tuple[list[int], list[bytes]]]:
+    """The keys and texts of a batch, as many at a time as ``GROUP`` bytes hold."""
+    keys, texts, size = [], [], 0
+    for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        keys.append(key)
+        texts.append(text)
+        size += len(text)
+        if size > GROUP:
+            yield keys, texts
+            keys, texts, size = [], [], 0
+    if keys:
+        yield keys, texts
+
+
 def _all_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The units of texts that are worked through together, as one text of which
+    blank lines part them: no unit goes beyond those."""
     anchors, names = _Anchors(), ["id", "unit", "start", "end", "words", "kind", "digest"]
     for batch in batches:
-        parts, size = [], 0
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            text = text.as_py()
-            start, end, words, digest, kind = _Text(text).units(anchors)
-            if not text.isascii():
-                points = np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80)
-                start, end = np.where(start > 0, points[start - 1], 0), points[end - 1]
-            parts.append((np.full(len(start), key), *(x.astype(np.int32) for x in (
-                np.arange(len(start)), start, end, words, kind)), digest))
-            size += len(start)
-            if size > 50_000:
-                yield from _table(parts, names)
-                parts, size = [], 0
-        yield from _table(parts, names)
+        for keys, texts in _groups(batch):
+            whole = b"\n\n".join(texts)
+            start, end, words, digest, kind = _Text(whole).units(anchors)
+            if not len(start):
+                continue
+            begins = np.cumsum([0, *(len(t) + 2 for t in texts[:-1])])
+            owner = np.searchsorted(begins, start, "right") - 1
+            number = np.arange(len(start)) - np.searchsorted(owner, owner)
+            begin = begins[owner]
+            if not whole.isascii():
+                points = np.zeros(len(whole) + 1, np.int64)
+                np.cumsum((np.frombuffer(whole, np.uint8) & 0xC0) != 0x80, out=points[1:])
+                start, end, begin = points[start], points[end], points[begin]
+            yield from _table([(np.array(keys, np.int64)[owner], *(
+                x.astype(np.int32) for x in (number, start - begin, end - begin, words, kind)),
+                digest)], names)
 
 
 class _Codes(dict):
