@@ -91,6 +91,7 @@ class Encoder:
         self.blank = np.zeros(size, bool)
         for token, number in self.tokenizer.get_vocab().items():
             self.blank[number] = token.startswith("\u0120")  # the blank of byte levels
+        self.firsts: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
 
@@ -125,15 +126,26 @@ class Encoder:
             ids = list(map(get, rest))
             if None in ids:
                 missing = [k for k, x in enumerate(ids) if x is None]
-                gaps.append((ids, [(k, rest[k]) for k in missing]))
-                wanted.update(map(rest.__getitem__, missing))
+                names = list(map(rest.__getitem__, missing))
+                gaps.append((ids, missing, names))
+                wanted.update(names)
             whole.append(first)
             chunks.append(ids)
         found = self._learn(wanted)
-        for ids, missing in gaps:
-            for k, chunk in missing:
-                ids[k] = found[chunk]
-        return [first + b"".join(ids) for first, ids in zip(self._library(whole), chunks)]
+        for ids, missing, names in gaps:
+            for k, name in zip(missing, names):
+                ids[k] = found[name]
+        return [first + b"".join(ids) for first, ids in zip(self._whole(whole), chunks)]
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        """The ids of what texts begin with, of which short ones are remembered."""
+        if len(self.firsts) > CHUNKS_KEPT // 8:
+            self.firsts.clear()
+        new = list({t for t in texts if t not in self.firsts})
+        found = dict(zip(new, self._library(new)))
+        ids = [self.firsts.get(t) or found.get(t, b"") for t in texts]
+        self.firsts.update((t, x) for t, x in found.items() if len(t) <= LONG_CHUNK)
+        return ids
 
     def _learn(self, chunks: set[str]) -> dict[str, bytes]:
         """The ids of chunks, which are known from now on but for very long ones."""
