@@ -29,6 +29,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyarrow.fs import FileSystem, FileSelector
 from pyspark import TaskContext
@@ -48,12 +49,13 @@ _TRAILER = "<8sQQQ"
 SHARD_BYTES, SHARD_ROWS = 16 << 20, 1_000_000
 #: Keys of one part of the index, on average.
 PART_KEYS = 50_000
-#: Chunks whose ids a worker remembers, a fifth of a kilobyte each, and their
-#: greatest length.
+#: Chunks whose ids a worker remembers, in columns of some thirty bytes each, and
+#: their greatest length.
 CHUNKS_KEPT, LONG_CHUNK = 800_000, 64
-#: Characters of texts, and unknown words, that are encoded together.
+#: Bytes of texts, and unknown words, that are encoded together.
 GROUP, TOGETHER = 2_000_000, 1000
-_ENDS = ".,;:!?"
+#: Whether characters of two bytes, by their number, are letters.
+_LETTERS = np.array([chr(c).isalpha() for c in range(0x800)])
 #: Blanks besides the space and the line feed.
 _RARE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 _RARE_ASCII = [c for c in _RARE if c.isascii()]
@@ -67,9 +69,11 @@ class Encoder:
     """The ids that the tokenizers library gives whole texts.
 
     A byte-level vocabulary splits texts before it merges, and always before a
-    blank or a line end that follows a character and precedes another. So a
-    text's ids are those of its chunks between such places, which repeat, and a
-    worker remembers them. Other vocabularies, and texts with blanks beside
+    blank or a line end that follows a character and precedes another, after a
+    line end, and between a letter and an ASCII character that is none. So a
+    text's ids are those of its chunks between such places, which repeat: those
+    of a group of texts are told apart in columns, each is looked up once, and
+    a worker remembers them. Other vocabularies, and texts with blanks beside
     blanks or with special tokens, are encoded whole.
     """
 
@@ -91,20 +95,24 @@ class Encoder:
         self.blank = np.zeros(size, bool)
         for token, number in self.tokenizer.get_vocab().items():
             self.blank[number] = token.startswith("\u0120")  # the blank of byte levels
-        self.firsts: dict[str, bytes] = {}
-        self.known: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
+        self.known = pa.array([], pa.large_string())
+        self.ids = pa.array([], pa.large_binary())
+        self.used, self.turn = np.zeros(0, np.int64), 0
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, without an end id, as bytes."""
-        found, group, size = [], [], 0
-        for text in texts:
-            group.append(text)
-            size += len(text)
-            if size > GROUP:
-                found += self._group(group)
-                group, size = [], 0
-        return found + self._group(group)
+        return [ids for part in self.encode_array(pa.array(texts, pa.large_string()))
+                for ids in part.to_pylist()]
+
+    def encode_array(self, texts: pa.Array) -> Iterator[pa.Array]:
+        """The same of a column without NULLs, some texts at a time."""
+        texts = texts.cast(pa.large_string())
+        sizes = pc.binary_length(texts).to_numpy()
+        groups = (np.cumsum(sizes) - sizes) // GROUP
+        cuts = [0, *(np.flatnonzero(np.diff(groups)) + 1).tolist(), len(texts)]
+        for s, e in zip(cuts, cuts[1:]):
+            if s < e:
+                yield self._group(texts.slice(s, e - s))
 
     def _cut(self, text: str) -> bool:
         """Whether a text's chunks have the ids they have in it."""
@@ -115,74 +123,78 @@ class Encoder:
         return not ("  " in text or " \n" in text or "\n " in text or "\n\n\n" in text
                     or text.endswith("\n\n"))
 
-    def _group(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > CHUNKS_KEPT // 2:  # what is used again moves on
-            self.known, self.before = {}, self.known
-        get = self.known.get
-        whole, chunks, gaps, wanted = [], [], [], set()
-        for text in texts:
-            first, *rest = (text.replace("\n", " \n").split(" ") if self._cut(text)
-                            else [text])
-            ids = list(map(get, rest))
-            if None in ids:
-                missing = [k for k, x in enumerate(ids) if x is None]
-                names = list(map(rest.__getitem__, missing))
-                gaps.append((ids, missing, names))
-                wanted.update(names)
-            whole.append(first)
-            chunks.append(ids)
-        found = self._learn(wanted)
-        for ids, missing, names in gaps:
-            for k, name in zip(missing, names):
-                ids[k] = found[name]
-        return [first + b"".join(ids) for first, ids in zip(self._whole(whole), chunks)]
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        """The ids of what texts begin with, of which short ones are remembered."""
-        if len(self.firsts) > CHUNKS_KEPT // 8:
-            self.firsts.clear()
-        new = list({t for t in texts if t not in self.firsts})
-        found = dict(zip(new, self._library(new)))
-        ids = [self.firsts.get(t) or found.get(t, b"") for t in texts]
-        self.firsts.update((t, x) for t, x in found.items() if len(t) <= LONG_CHUNK)
-        return ids
-
-    def _learn(self, chunks: set[str]) -> dict[str, bytes]:
-        """The ids of chunks, which are known from now on but for very long ones."""
-        found, words, others, ended = {}, set(), [], []
-        known, before = self.known, self.before
-        for chunk in chunks:
-            ids = before.get(chunk)
-            if ids is not None:
-                found[chunk] = ids
-            elif chunk.isalpha():
-                words.add(chunk)
-            else:
-                word = chunk.rstrip(_ENDS)
-                if len(word) < len(chunk) and word.isalpha():
-                    ended.append((chunk, word))  # marks after a word are split from it
-                else:
-                    others.append(chunk)
-        of_word = {}
-        for _, word in ended:
-            ids = known.get(word) or before.get(word) or found.get(word)
-            if ids is None:
-                words.add(word)
-            else:
-                of_word[word] = ids
-        found.update(self._words(list(words)))
-        found.update(zip(others, self._library(
-            [c if c[:1] == "\n" else f" {c}" for c in others])))
-        marks = list({c[len(w):] for c, w in ended})
-        of_mark = dict(zip(marks, self._library(marks)))
-        for chunk, word in ended:
-            found[chunk] = (of_word.get(word) or found[word]) + of_mark[chunk[len(word):]]
-        if found and max(map(len, found)) > LONG_CHUNK:
-            known.update((c, x) for c, x in found.items() if len(c) <= LONG_CHUNK)
-        else:
-            known.update(found)
+    def _chunks(self, texts: pa.LargeStringArray) -> tuple[pa.Array, np.ndarray]:
+        """All chunks, and the number of the first of each text, then of chunks."""
+        at = np.frombuffer(texts.buffers()[1], np.int64)[
+            texts.offset:texts.offset + len(texts) + 1]
+        if at[0] == at[-1]:
+            return pa.array([], pa.large_string()), np.zeros(len(texts) + 1, np.int64)
+        held = texts.buffers()[2].slice(at[0], at[-1] - at[0])
+        at = at - at[0]
+        data = np.frombuffer(held, np.uint8)
+        line = data == ord("\n")
+        letter = (data | 32) - np.uint8(ord("a")) < 26
+        begins = line | (data == ord(" "))
+        other = (data < 128) & ~letter
+        begins[1:] |= line[:-1] | (letter[:-1] & other[1:])
+        after = np.flatnonzero(other[2:] & (data[1:-1] >= 128) & (data[:-2] >= 0xC0)) + 2
+        begins[after] |= _LETTERS[(data[after - 2] & 31).astype(int) << 6 | data[after - 1] & 63]
+        for text, s, e in zip(texts.to_pylist(), at.tolist(), at[1:].tolist()):
+            if not self._cut(text):
+                begins[s:e] = False
+        begins[at[:-1][at[:-1] < at[1:]]] = True
+        starts = np.flatnonzero(begins)
+        chunks = pa.LargeStringArray.from_buffers(
+            len(starts), pa.py_buffer(np.append(starts, len(data))), held)
+        return chunks, np.searchsorted(starts, at)
+
+    def _group(self, texts: pa.LargeStringArray) -> pa.Array:
+        chunks, firsts = self._chunks(texts)
+        own = chunks.dictionary_encode()
+        at = self._places(own.dictionary)[own.indices.to_numpy()]
+        # chunks follow one another, so their ids do, and a text's have no gaps
+        ends = np.append(0, np.cumsum(pc.binary_length(self.ids).to_numpy()[at]))
+        found = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(texts), [
+            None, pa.py_buffer(ends[firsts]), self.ids.take(pa.array(at)).buffers()[2]])
+        self._forget()
         return found
 
+    def _places(self, chunks: pa.LargeStringArray) -> np.ndarray:
+        """Where in ``known`` and ``ids`` distinct chunks are, from now on."""
+        # the few are hashed, and the many that are known looked up among them
+        found = pc.index_in(self.known, value_set=chunks)
+        here = np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False))
+        at = np.full(len(chunks), -1)
+        at[found.drop_null().to_numpy()] = here
+        missing = np.flatnonzero(at < 0)
+        at[missing] = len(self.known) + np.arange(len(missing))
+        new = chunks.take(pa.array(missing))
+        # by numpy, as to_pylist makes a scalar of each
+        learnt = self._learn(new.to_numpy(zero_copy_only=False).tolist())
+        self.known = pa.concat_arrays([self.known, new])
+        self.ids = pa.concat_arrays([self.ids, pa.array(learnt, pa.large_binary())])
+        self.used = np.append(self.used, np.zeros(len(new), np.int64))
+        self.turn += 1
+        self.used[at] = self.turn
+        return at
+
+    def _forget(self) -> None:
+        """Very long chunks, and of too many the half not used for longest."""
+        keep = np.flatnonzero(pc.binary_length(self.known).to_numpy() <= LONG_CHUNK)
+        if len(keep) > CHUNKS_KEPT:
+            keep = keep[np.argsort(-self.used[keep], kind="stable")[:CHUNKS_KEPT // 2]]
+        if len(keep) < len(self.known):
+            self.known, self.ids = self.known.take(keep), self.ids.take(keep)
+            self.used = self.used[keep]
+
+    def _learn(self, chunks: list[str]) -> list[bytes]:
+        """The ids of chunks that are not known."""
+        words = [c for c in chunks if c[0] == " " and c[1:].isalpha()]
+        found = dict(self._words(words))
+        others = [c for c in chunks if c not in found]
+        found.update(zip(others, self._library(others)))
+        return list(map(found.__getitem__, chunks))
+
     def _words(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
         """Words of letters after a blank, many in one text: a word's ids begin
         with the one that holds its blank, and no other does."""
@@ -190,7 +202,7 @@ class Encoder:
         for k in range(0, len(words), TOGETHER):
             part = words[k:k + TOGETHER]
             encoding = self.tokenizer.encode_batch_fast(
-                [" " + " ".join(part)], add_special_tokens=False)[0]
+                ["".join(part)], add_special_tokens=False)[0]
             ids = np.array(encoding.ids, self.kind)
             starts = (np.flatnonzero(self.blank[ids]) * width).tolist()
             data = ids.tobytes()
@@ -208,18 +220,30 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, batches of short texts put together up to a group."""
+    held, size = [], 0
+    for batch in batches:
+        if held and size + batch.nbytes > GROUP:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        held.append(batch)
+        size += batch.nbytes
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _records(tokenizer: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(tokenizer)
         keys, known, lengths = [], [], []
-        for batch in batches:
-            records = own.encode(batch.column(1).to_pylist())
+        for batch in _joined(batches):
             key = batch.column(0)
             known.append(key.is_valid().to_numpy(zero_copy_only=False))
             keys.append(key.fill_null(0).to_numpy(zero_copy_only=False))
-            lengths.append(np.array([len(r) for r in records], np.int64)
-                           // own.kind.itemsize + 1)
-            yield pa.RecordBatch.from_arrays([pa.array(records, pa.binary())], ["record"])
+            for records in own.encode_array(batch.column(1)):
+                lengths.append(pc.binary_length(records).to_numpy() // own.kind.itemsize + 1)
+                yield pa.RecordBatch.from_arrays([records.cast(pa.binary())], ["record"])
         count = sum(map(len, keys))
         if count:
             footer = b"".join(

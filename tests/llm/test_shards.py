@@ -6,6 +6,7 @@ from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -14,7 +15,7 @@ from tokenizers import Tokenizer
 
 from lastro.llm import queries
 from lastro.llm.perfect import PerfectHash
-from lastro.llm.shards import Encoder, Reader, Shard, TokenStore
+from lastro.llm.shards import Encoder, Reader, Shard, TokenStore, _joined
 from lastro.sources.scratch import new_path
 
 from .helpers import awkward, docs, empty, words
@@ -67,6 +68,64 @@ def test_vocabularies_of_another_kind_are_encoded_whole():
         text, add_special_tokens=False).ids
 
 
+class Counting:
+    """The library, and the characters that it was given."""
+
+    def __init__(self, own):
+        self.own, self.given = own, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.given += sum(map(len, texts))
+        return self.own.encode_batch_fast(texts, **options)
+
+
+def test_known_words_are_not_encoded_again_beside_marks():
+    own = Encoder(PATH)
+    own.tokenizer = Counting(own.tokenizer)
+    names = [f"w{a}{b}x" for a in "abcdefgh" for b in "abcdefgh"]
+    own.encode([" ".join(["", *names])])
+    own.tokenizer.given = 0
+    texts = [" " + " ".join(n + mark for n in names)
+             for mark in (",", ")", '"', "-", "/", "'s", "=5", "]")]
+    assert own.encode(texts) == [np.array(library(t), own.kind).tobytes() for t in texts]
+    assert own.tokenizer.given < 30  # a word with another mark was a new chunk
+
+
+def test_groups_of_texts_follow_one_another(monkeypatch):
+    monkeypatch.setattr("lastro.llm.shards.GROUP", 50)
+    texts = ["", "a b", "", "é" * 70, words(30, 1), "", "x  y", "\n", ""] * 3
+    own = Encoder(PATH)
+    assert own.encode(texts) == [np.array(library(t), own.kind).tobytes() for t in texts]
+    assert own.encode([]) == [] and own.encode([""]) == [b""]
+
+
+def test_marks_beside_every_letter_of_two_bytes():
+    texts = [f"a{chr(c)}, {chr(c)}b{chr(c)}'s\n{chr(c)}1 (x{chr(c)})" for c in range(0x80, 0x800)]
+    assert ENCODER.encode(texts) == [np.array(library(t), ENCODER.kind).tobytes()
+                                     for t in texts]
+
+
+def test_what_a_worker_remembers_is_bounded(monkeypatch):
+    monkeypatch.setattr("lastro.llm.shards.GROUP", 200)
+    monkeypatch.setattr("lastro.llm.shards.CHUNKS_KEPT", 60)
+    own = Encoder(PATH)
+    for k in range(40):
+        texts = [f"w{k}x {words(25, k)} {'long' * 30} w0x", words(9, k % 4)]
+        assert own.encode(texts) == [np.array(library(t), own.kind).tobytes() for t in texts]
+        assert len(own.known) == len(own.ids) == len(own.used) <= 60
+        assert max(map(len, own.known.to_pylist())) <= 64
+
+
+def test_short_batches_are_joined(monkeypatch):
+    monkeypatch.setattr("lastro.llm.shards.GROUP", 100)
+    made = [pa.record_batch({"key": [k], "text": [words(size, k)]})
+            for k, size in enumerate([1, 1, 1, 90, 1, 1])]
+    joined = list(_joined(iter(made)))
+    assert [b.num_rows for b in joined] == [3, 1, 2]
+    assert pa.Table.from_batches(joined).equals(pa.Table.from_batches(made))
+    assert list(_joined(iter([]))) == []
+
+
 @pytest.mark.parametrize("count", [0, 1, 2, 63, 5000])
 def test_perfect_hash_is_minimal(count):
     keys = np.random.default_rng(count).choice(10**12, count, replace=False) - 10**9
